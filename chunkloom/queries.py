@@ -59,7 +59,6 @@ def _norm_sql(c: str) -> str:
 @query("SELECT doc_id, coalesce(nullif(text,''),'') AS content, coalesce(nullif(source,''),'') AS repo_name, 'doc-'||doc_id AS path, coalesce(code_language,'') AS language FROM documents")
 def corpus_project_alias(spark, d):
     raw = table(spark, d, "documents").select("doc_id", "text", F.col("source").alias("repository_name"), F.concat(F.lit("doc-"), F.col("doc_id")).alias("filename"), F.col("code_language").alias("language"))
-    # the key rides along in a second alias projection over the same row
     return raw.select("doc_id", text.first_truthy(F.col("text")).alias("content"), text.first_truthy(F.col("repository_name")).alias("repo_name"), text.first_truthy(F.col("filename")).alias("path"), text.blank_to(F.col("language")).alias("language"))
 
 
@@ -388,9 +387,9 @@ ct AS (SELECT chunk_id, ('0x'||substr(md5(w),1,8))::UBIGINT % {_DIM_SQL} AS b, c
 qt AS (SELECT chunk_id, ('0x'||substr(md5(w),1,8))::UBIGINT % {_DIM_SQL} AS b, count(*) AS n FROM (SELECT chunk_id, unnest(regexp_extract_all(lower(query_text), '[a-z0-9_]+')) AS w FROM c WHERE eval_split='eval_test' AND query_text <> '') GROUP BY ALL),
 cn AS (SELECT chunk_id, sum(n*n) AS z FROM ct GROUP BY chunk_id), qn AS (SELECT chunk_id, sum(n*n) AS z FROM qt GROUP BY chunk_id),
 dp AS (SELECT qt.chunk_id AS qid, ct.chunk_id AS cid, sum(qt.n*ct.n) AS dot FROM qt JOIN ct USING (b) GROUP BY ALL),
-pairs AS (SELECT qn.chunk_id AS qid, c.chunk_id AS cid, coalesce(round(dp.dot::DOUBLE / sqrt(qn.z::DOUBLE * cn.z::DOUBLE), 9), 0.0) AS score FROM qn CROSS JOIN c LEFT JOIN cn ON cn.chunk_id = c.chunk_id LEFT JOIN dp ON dp.qid = qn.chunk_id AND dp.cid = c.chunk_id),
-hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, cid) - 1 AS rank FROM pairs) WHERE rank < 100),
 rel AS (SELECT chunk_id AS qid FROM c WHERE eval_split='eval_test' AND query_text <> ''),
+pairs AS (SELECT rel.qid, c.chunk_id AS cid, coalesce(round(dp.dot::DOUBLE / sqrt(qn.z::DOUBLE * cn.z::DOUBLE), 9), 0.0) AS score FROM rel CROSS JOIN c LEFT JOIN qn ON qn.chunk_id = rel.qid LEFT JOIN cn ON cn.chunk_id = c.chunk_id LEFT JOIN dp ON dp.qid = rel.qid AND dp.cid = c.chunk_id),
+hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, cid) - 1 AS rank FROM pairs) WHERE rank < 100),
 ranks AS (SELECT rel.qid, h.rank FROM rel LEFT JOIN hits h ON h.qid = rel.qid AND h.cid = rel.qid)
 """
 
