@@ -83,4 +83,40 @@ QUERIES: dict[str, Query] = {
     for f in (p1_found, p1_redacted, p2_found, p3_found, p3_pieces, p4_found, p4_assigned, p5_found, p5_report, p6_found, p7_found, p7_pairs, p8_ids, p9_found, p9_report, p10_found)
 }
 
-ORACLE: dict[str, str] = {}
+_TOK = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\t-\r ]"
+
+
+def _canonical_sql(c: str) -> str:
+    bare = rf"regexp_replace(lower(trim({c})), '^(?:[a-z][a-z0-9+.\-]*://[^/\s]*/+|[^/@\s]*@[^/:\s]+[:/]+)', '')"
+    owner = rf"regexp_extract({bare}, '^/*([^/\s?#]+)/+([^/\s?#@]+)', 1)"
+    repo = rf"regexp_replace(regexp_extract({bare}, '^/*([^/\s?#]+)/+([^/\s?#@]+)', 2), '(?:\.git)+$', '')"
+    return f"CASE WHEN {owner} <> '' AND {repo} <> '' THEN {owner} || '/' || {repo} ELSE nullif(lower(trim({c})), '') END"
+
+
+_P4_SQL = f"""WITH RECURSIVE l AS (SELECT {_canonical_sql('src_repo')} AS a, {_canonical_sql('dst_repo')} AS b FROM repo_links WHERE lower(trim(relation)) IN ('renamed_to', 'moved_to', 'forked_from', 'mirror_of')),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), reach(n, m) AS (SELECT a, a FROM e UNION SELECT r.n, e.b FROM reach r JOIN e ON r.m = e.a), label AS (SELECT n, min(m) AS label FROM reach GROUP BY n),
+c AS (SELECT repo_name, {_canonical_sql('repo_name')} AS n, nullif(trim(eval_split), '') AS s FROM chunks WHERE repo_name IS NOT NULL)
+SELECT min(repo_name) AS repo_name FROM c LEFT JOIN label USING (n) WHERE n IS NOT NULL GROUP BY coalesce(label, n) HAVING count(DISTINCT s) > 1"""
+
+_P5_SQL = f"""WITH b AS (SELECT DISTINCT chunk_id, trim(eval_split) IN ('eval_test', 'eval_valid') AS is_eval, text, query_text FROM chunks WHERE trim(eval_split) IN ('eval_test', 'eval_valid', 'index_only')),
+t AS (SELECT chunk_id, is_eval, regexp_extract_all(lower(text), '{_TOK}') AS k FROM b WHERE text IS NOT NULL),
+g AS (SELECT DISTINCT chunk_id, is_eval, k[i] || chr(1) || k[i+1] || chr(1) || k[i+2] AS g FROM (SELECT *, unnest(range(1, len(k) - 1)) AS i FROM t WHERE len(k) >= 30)),
+n AS (SELECT chunk_id, count(*) AS n FROM (SELECT DISTINCT chunk_id, g FROM g) GROUP BY chunk_id),
+o AS (SELECT x.chunk_id AS e, y.chunk_id AS t, count(*) AS common FROM g x JOIN g y ON x.g = y.g AND x.is_eval AND NOT y.is_eval GROUP BY ALL),
+p AS (SELECT e, t FROM o JOIN n a ON a.chunk_id = e JOIN n z ON z.chunk_id = t WHERE common::DOUBLE / (a.n + z.n - common) >= 0.7),
+q AS (SELECT chunk_id, is_eval, regexp_extract_all(lower(query_text), '[\\p{{L}}\\p{{N}}]+') AS w FROM b),
+r AS (SELECT x.chunk_id AS e, y.chunk_id AS t FROM q x JOIN q y ON x.w = y.w AND x.is_eval AND NOT y.is_eval WHERE len(x.w) >= 8)
+SELECT DISTINCT least(e, t) AS chunk_id_a, greatest(e, t) AS chunk_id_b FROM (SELECT * FROM p UNION SELECT * FROM r) WHERE e <> t"""
+
+_P9_SQL = r"""WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents), i AS (SELECT item_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM heldout_items),
+dg AS (SELECT DISTINCT id, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 8)) AS k FROM d WHERE len(w) >= 10)),
+ig AS (SELECT DISTINCT id, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 8)) AS k FROM i WHERE len(w) >= 10))
+SELECT DISTINCT dg.id AS doc_id, ig.id AS item_id FROM dg JOIN ig USING (g)"""
+
+#: Queries that SQL cannot express in a usable time have none; tests/llm holds them against brute force.
+ORACLE: dict[str, str] = {
+    "p3_found": f"SELECT DISTINCT chunk_id FROM chunks WHERE len(regexp_extract_all(text, '{_TOK}')) > 512",
+    "p4_found": _P4_SQL,
+    "p5_found": _P5_SQL,
+    "p9_found": _P9_SQL,
+}
