@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 import numpy as np
 
 #: Links that a new node takes, room for links (a full list is pruned to half), beam widths, nodes expanded per step.
-LINKS, ROOM, EF_BUILD, EF_SEARCH, STEP = 10, 24, 32, 32, 4
+LINKS, ROOM, EF_BUILD, EF_SEARCH, STEP = 16, 32, 48, 40, 4
 #: Queries that advance together, and nodes inserted together.
 LANE, BATCH = 512, 1024
 
@@ -41,6 +41,17 @@ def _node(key: np.ndarray) -> np.ndarray:
 _LAST = np.int64(1) << 62
 
 
+def _unique(keys: np.ndarray) -> np.ndarray:
+    """Sorted rows in which each node stands once, with its best key: the same pair's similarity may differ in its last
+    bit by the kernel that computed it."""
+    node = _node(keys)
+    twice = np.tril(node[:, :, None] == node[:, None, :], -1).any(axis=2) & (keys < _LAST)
+    if twice.any():
+        keys = np.where(twice, _LAST, keys)
+        keys.sort(axis=1)
+    return keys
+
+
 @dataclass
 class Layer:
     """One layer: which nodes it holds, their links and the similarities of these."""
@@ -125,7 +136,7 @@ class Graph:
             return nodes, sims
         for a in range(0, len(q), LANE):
             part = q[a : a + LANE].astype(np.float32)
-            keys = self._beam(self.layers[0], part, self._enter(part, len(self.layers) - 1, 0), max(ef, k))[:, :k]
+            keys = _unique(self._beam(self.layers[0], part, self._enter(part, len(self.layers) - 1, 0), max(ef, k)))[:, :k]
             good = keys < _LAST
             nodes[a : a + len(part), : keys.shape[1]] = np.where(good, _node(keys), -1)
             sims[a : a + len(part), : keys.shape[1]] = np.where(good, _sim(keys), -2.0)
@@ -191,9 +202,9 @@ class Graph:
     def _remember(self, node: np.ndarray, keys: np.ndarray) -> None:
         """Enters candidates into the lists of the nearest seen, those of the nodes and of the candidates themselves."""
         width = self.near.shape[1]
-        both = np.concatenate([self.near[node], keys[:, :width]], axis=1)
+        both = np.concatenate([self.near[node], keys[:, :width] | np.where(keys[:, :width] < _LAST, _OPEN, 0)], axis=1)
         both.sort(axis=1)
-        self.near[node] = both[:, :width]
+        self.near[node] = _unique(both)[:, :width]
         good = keys[:, :width] < _LAST
         other, sim = _node(keys[:, :width])[good], _sim(keys[:, :width])[good]
         own = np.repeat(node, good.sum(axis=1))
@@ -212,7 +223,7 @@ class Graph:
         table[rows[keep], rank[keep]] = entry[keep]
         merged = np.concatenate([self.near[other[start]], table], axis=1)
         merged.sort(axis=1)
-        self.near[other[start]] = merged[:, :width]
+        self.near[other[start]] = _unique(merged)[:, :width]
 
     def _build(self) -> None:
         done, top = 0, -1
@@ -251,7 +262,7 @@ class Graph:
                 own = np.where(sims > -3.0, _pack(sims, new[mine][best], 0), _LAST)
                 keys = own if found is None else np.concatenate([found[mine] | np.where(found[mine] < _LAST, _OPEN, 0), own], axis=1)
                 keys.sort(axis=1)
-                keys = keys[:, :EF_BUILD]
+                keys = _unique(keys)[:, :EF_BUILD]
                 if lay == 0:
                     self._remember(new, keys)
                 for a in range(0, len(mine), LANE):
@@ -269,7 +280,7 @@ class Graph:
             found = self._beam(self.layers[0], self.x[own], keys, max(ef, k + 1))
             found = np.where(_node(found) == own[:, None], _LAST, found)
             found.sort(axis=1)
-            found = found[:, :k]
+            found = _unique(found)[:, :k]
             good = found < _LAST
             nodes[own, : found.shape[1]] = np.where(good, _node(found), -1)
             sims[own, : found.shape[1]] = np.where(good, _sim(found), -2.0)

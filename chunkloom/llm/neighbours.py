@@ -26,7 +26,7 @@ K, WIDTH = 5, 64
 SHARD_ROWS, MAX_SHARD = 32_768, 65_536
 #: Micro-centroids: one per so many vectors, at most so many, fitted on so many sampled vectors each.
 PER_CENTROID, MAX_CENTROIDS, SAMPLE_PER_CENTROID = 48, 8_192, 8
-PROBES, EF_VISIT, EF_HOME = 4, 16, 20
+PROBES, EF_VISIT, EF_HOME = 8, 40, 40
 
 
 def usable(vectors: DataFrame, width: int = WIDTH) -> DataFrame:
