@@ -92,7 +92,7 @@ def secret_name(name: str) -> bool:
     return bool(_NAME_END.search(n)) and not _NOT_SECRET_NAME.search(n) and not re.match(r"(?:public|pub|min|max|page|next|prev|csrf|cancell?ation|stop|pad|eos|bos|unk|mask)_", n)
 
 
-_BEFORE = re.compile(r"[\w.$@-]*$")
+_BEFORE = re.compile(r"[\w.$@-]*\Z")
 
 
 def _name(m: re.Match, text: str) -> str:
