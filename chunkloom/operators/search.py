@@ -74,7 +74,9 @@ def exact_topk(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "inn
             q = shared.value
             best_s = np.full((len(q), 0), -np.inf)
             best_c = np.empty((len(q), 0), dtype=object)
+            kind = None
             for batch in batches:
+                kind = batch.schema.field(0).type
                 keys = np.array(batch.column(0).to_pylist(), dtype=object)
                 x = _matrix(batch.column(1), q.shape[1])
                 for a in range(0, len(x), ROWS):
@@ -91,7 +93,7 @@ def exact_topk(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "inn
                     best_s, best_c = s, c
             if best_s.shape[1]:
                 rows = np.repeat(np.arange(len(q), dtype=np.int32), best_s.shape[1])
-                yield pa.RecordBatch.from_pandas(__import__("pandas").DataFrame({"q": rows, cid: best_c.ravel(), "score": best_s.ravel()}), preserve_index=False)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(best_c.ravel().tolist(), kind), pa.array(best_s.ravel())], ["q", cid, "score"])
 
         near = corpus.where(usable).select(cid, vector).mapInArrow(run, schema)
         best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("d"), F.col(cid).alias("c")))), 1, k)

@@ -61,7 +61,7 @@ def assemble(cfg: Config, chunks: DataFrame, embedded: DataFrame | None, gate: b
     for name, df in views.items():
         target = f"{cfg.publish_dir}/{name}/run={cfg.run.name}"
         write_partitioned(df, target, "language")
-        counts[name] = chunks.sparkSession.read.parquet(target).count()
+        counts[name] = chunks.sparkSession.read.schema(df.schema).parquet(target).count()
     Path(cfg.publish_dir, "README.md").write_text(card(cfg, counts))
     return counts
 

@@ -208,7 +208,7 @@ def test_pipeline(spark, finished):
 def test_evaluate(spark, finished):
     rows = spark.read.parquet(finished.shards_dir).withColumn("eval_split", F.lit("eval_test"))
     got = evaluate.report(rows, "test", strip=False).first()
-    assert got.n_queries == 5 and got.recall_at_10 == 1.0
+    assert got.n_queries == 4 and got.recall_at_10 == 1.0
     with pytest.raises(ValueError):
         evaluate.report(rows, "valid")
     with pytest.raises(NotImplementedError):
