@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import json
 from collections.abc import Callable
 from functools import partial
-from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from chunkloom.operators.chunking import chunk_files
 from chunkloom.plans import evaluate as E
 from chunkloom.plans import publish as P
 from chunkloom.schema import CHUNK_COLUMNS, canonical
-from chunkloom.sources import files
+from chunkloom.sources import files, fs
 from chunkloom.streaming.ingest import embed_stream, read_stream
 
 
@@ -112,15 +112,16 @@ def index(spark: SparkSession, cfg: Config, factory: str | None = None) -> str:
         return cfg.vectors_dir
     ix = search.train_index(vectors, int(kind["lists"]), int(kind["parts"]), 2 ** int(kind["bits"]), bool(kind["rotate"]), cfg.index.train_sample, cfg.run.seed)
     search.add_to_index(vectors, ix).write.mode("overwrite").partitionBy("list_id").parquet(f"{cfg.index_dir}/lists")
-    Path(cfg.index_dir).mkdir(parents=True, exist_ok=True)
     books = {} if ix.codebooks is None else {"codebooks": ix.codebooks}
-    np.savez(f"{cfg.index_dir}/model.npz", rotation=ix.rotation, centroids=ix.centroids, **books)
+    model = io.BytesIO()
+    np.savez(model, rotation=ix.rotation, centroids=ix.centroids, **books)
+    fs.write_bytes(spark, f"{cfg.index_dir}/model.npz", model.getvalue())
     return cfg.index_dir
 
 
 def load_index(spark: SparkSession, cfg: Config) -> tuple[DataFrame, search.VectorIndex]:
     """The index tables and model; FileNotFoundError where none was built."""
-    got = np.load(f"{cfg.index_dir}/model.npz")
+    got = np.load(io.BytesIO(fs.read_bytes(spark, f"{cfg.index_dir}/model.npz")))
     return spark.read.parquet(f"{cfg.index_dir}/lists"), search.VectorIndex(got["rotation"], got["centroids"], got["codebooks"] if "codebooks" in got else None)
 
 
@@ -130,19 +131,18 @@ def merge_index(spark: SparkSession, cfg: Config, mode: str = "ondisk") -> str:
         return index(spark, cfg, cfg.index.factory_full)
     if mode != "sharded":
         raise ValueError(f"mode {mode!r}")
-    parts = sorted(str(p.relative_to(cfg.under(""))) for p in Path(cfg.vectors_dir).glob("batch=*"))
+    parts = [p.rsplit(f"/{cfg.run.name}/", 1)[-1] for p in fs.glob(spark, f"{cfg.vectors_dir}/batch=*")]
     if not parts:
         raise FileNotFoundError(cfg.vectors_dir)
-    Path(cfg.index_dir).mkdir(parents=True, exist_ok=True)
-    Path(cfg.index_dir, "sharded.json").write_text(json.dumps({"parts": parts}))
+    fs.write_bytes(spark, f"{cfg.index_dir}/sharded.json", json.dumps({"parts": parts}).encode())
     return cfg.index_dir
 
 
 def publish(spark: SparkSession, cfg: Config, dry_run: bool = True, upload=None) -> dict[str, object]:
     """Writes the views and the card, and uploads them unless it is a dry run."""
     rows = canonical(spark.read.parquet(cfg.shards_dir), CHUNK_COLUMNS)
-    counts = P.assemble(cfg, rows, embedded(spark, cfg) if Path(cfg.vectors_dir).exists() else None)
-    return {**counts, **P.publish(cfg, upload, dry_run)}
+    counts = P.assemble(cfg, rows, embedded(spark, cfg) if fs.exists(spark, cfg.vectors_dir) else None)
+    return {**counts, **P.publish(spark, cfg, upload, dry_run)}
 
 
 def evaluate(spark: SparkSession, cfg: Config, split: str = "test", mode: str = "exact") -> dict:
@@ -173,8 +173,7 @@ def evaluate(spark: SparkSession, cfg: Config, split: str = "test", mode: str =
         "split": E.split_key(split), "model_id": cfg.model.id, "model_revision": cfg.model.revision, "embed_dim": cfg.model.embed_dim, "dtype": cfg.model.dtype,
         "n_corpus": rows.count(), "n_queries": queries.count(), "ks": ks, "metrics": got,
     }
-    Path(cfg.eval_dir).mkdir(parents=True, exist_ok=True)
-    Path(cfg.eval_dir, f"report_{E.split_key(split)}.json").write_text(json.dumps(out, indent=1))
+    fs.write_bytes(spark, f"{cfg.eval_dir}/report_{E.split_key(split)}.json", json.dumps(out, indent=1).encode())
     return out
 
 

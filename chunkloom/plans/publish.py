@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.config import Config
 from chunkloom.schema import INDEX_ONLY, describe
+from chunkloom.sources import fs
 from chunkloom.sources.files import write_partitioned
 
 #: More files than this make a repository slow to list.
@@ -62,13 +62,13 @@ def assemble(cfg: Config, chunks: DataFrame, embedded: DataFrame | None, gate: b
         target = f"{cfg.publish_dir}/{name}/run={cfg.run.name}"
         write_partitioned(df, target, "language")
         counts[name] = chunks.sparkSession.read.schema(df.schema).parquet(target).count()
-    Path(cfg.publish_dir, "README.md").write_text(card(cfg, counts))
+    fs.write_bytes(chunks.sparkSession, f"{cfg.publish_dir}/README.md", card(cfg, counts).encode())
     return counts
 
 
-def publish(cfg: Config, upload=None, dry_run: bool = True) -> dict[str, object]:
+def publish(spark: SparkSession, cfg: Config, upload=None, dry_run: bool = True) -> dict[str, object]:
     """Counts the files and hands the folder to `upload(folder, repo_id)`; a dry run stops before that."""
-    files = sum(1 for p in Path(cfg.publish_dir).rglob("*") if p.is_file())
+    files = fs.count_files(spark, cfg.publish_dir)
     done = False
     if not dry_run:
         if upload is None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from functools import partial
 
@@ -16,6 +15,7 @@ from chunkloom.plans import evaluate, publish
 from chunkloom.schema import CHUNK_COLUMNS
 from chunkloom.sources import files, npy
 from chunkloom.sources.files import table
+from chunkloom.sources.fs import glob, shared_folder
 from chunkloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -429,28 +429,17 @@ def symbol_chunks(spark, d):
     return chunking.chunk_files(raw, ALLOW, "test", 512, 32, 8).select(*[c for c in CHUNK_COLUMNS if c != "corpus_snapshot"])
 
 
-def _local_folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base.removeprefix("file://")) if "://" not in base.removeprefix("file://") and __import__("os").path.isdir(base.removeprefix("file://")) else tempfile.mkdtemp(prefix=f"{name}-")
-
-
 @query("SELECT chunk_id, count(*) AS n FROM (SELECT DISTINCT chunk_id FROM chunks) GROUP BY chunk_id")
 def stream_resume(spark, d):
     """Two runs over one folder: the second adds nothing, so each chunk is there once."""
     rows = chunks_of(spark, d)
-    folder = _local_folder(spark, "stream")
-    stream = ingest.read_stream(spark, d, rows.schema, glob="chunks.parquet") if not _is_folder(f"{d}/chunks.parquet") else ingest.read_stream(spark, f"{d}/chunks.parquet", rows.schema)
+    folder = shared_folder(spark, "stream")
+    stream = ingest.read_stream(spark, d, rows.schema, glob="chunks.parquet") if not glob(spark, f"{d}/chunks.parquet/*.parquet") else ingest.read_stream(spark, f"{d}/chunks.parquet", rows.schema)
     for _ in range(2):
         ingest.embed_stream(stream, lambda b: b.select("chunk_id"), f"{folder}/out", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/out/batch=*").groupBy("chunk_id").agg(F.count("*").alias("n"))
 
 
-def _is_folder(path: str) -> bool:
-    import os
-
-    return os.path.isdir(path)
-
-
 @query("SELECT time_bucket(INTERVAL 1 HOUR, logged_at) AS hour, status, coalesce(language,'') AS language, count(*) AS messages FROM (SELECT DISTINCT shard_id, status, logged_at, language FROM shard_status WHERE shard_id IS NOT NULL) GROUP BY ALL")
 def status_per_hour(spark, d):
     rows = table(spark, d, "shard_status").where("shard_id is not null").select("shard_id", "status", "logged_at", "language").distinct()
@@ -460,7 +449,7 @@ def status_per_hour(spark, d):
 @query("SELECT count(*) AS n, round(sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE))), 3) AS total FROM embeddings")
 def npy_roundtrip(spark, d):
     npy.register(spark)
-    folder = _local_folder(spark, "npy")
+    folder = shared_folder(spark, "npy")
     table(spark, d, "embeddings").select(F.col("embedding").alias("vector")).write.format("npy").option("path", folder).mode("append").save()
     got = spark.read.format("npy").option("path", folder).load()
     return got.select(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double")).alias("s")).agg(F.count("*").alias("n"), F.round(F.sum("s"), 3).alias("total"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from functools import reduce
 from pathlib import Path
 
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from chunkloom.functions.text import blank_to, first_of_list, first_truthy, normalize_text
 from chunkloom.operators.sharding import cap_per_group
 from chunkloom.schema import CHUNK_COLUMNS, MANIFEST, canonical, struct
+from chunkloom.sources import fs
 
 #: Names under which raw corpora carry the same field.
 ALIASES = {
@@ -65,13 +65,14 @@ def read_corpus(spark: SparkSession, root: str, languages: list[str] | None = No
 
 def stage_corpus(raw: DataFrame, root: str, languages: list[str], cap: int = 0, order: list[str] | None = None) -> None:
     """Writes the projected rows of the languages as zstd Parquet, at most PART_ROWS a file; a staged root is left as it is."""
-    if is_staged(root):
+    spark = raw.sparkSession
+    if is_staged(spark, root):
         return
     rows = project_raw(raw).where(F.col("language").isin(languages))
     rows = cap_per_group(rows, "language", cap, order or ["repo_name", "path", "content"])
     rows.withColumn("lang", F.col("language")).write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", PART_ROWS).partitionBy("lang").parquet(root)
-    check_corpus(read_corpus(raw.sparkSession, root))
-    mark_staged(root, {"languages": languages, "cap": cap})
+    check_corpus(read_corpus(spark, root))
+    mark_staged(spark, root, {"languages": languages, "cap": cap})
 
 
 def stage_eval_pack(spark: SparkSession, sources: dict[str, str], root: str) -> list[str]:
@@ -82,24 +83,17 @@ def stage_eval_pack(spark: SparkSession, sources: dict[str, str], root: str) ->
             spark.read.format("json" if path.endswith((".json", ".jsonl")) else "parquet").load(path).write.mode("overwrite").parquet(f"{root}/{name}")
         except AnalysisException:
             failed.append(name)
-    mark_staged(root, {"failed": failed})
+    mark_staged(spark, root, {"failed": failed})
     return failed
 
 
-def _marker(root: str) -> Path:
-    return Path(root, "_STAGED.json")
+def mark_staged(spark: SparkSession, root: str, facts: dict) -> None:
+    """A marker beside the data."""
+    fs.write_bytes(spark, f"{root}/_STAGED.json", json.dumps(facts, sort_keys=True).encode())
 
 
-def mark_staged(root: str, facts: dict) -> None:
-    """A marker beside the data, written to another name first."""
-    target = _marker(root)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    target.with_suffix(".tmp").write_text(json.dumps(facts, sort_keys=True))
-    os.replace(target.with_suffix(".tmp"), target)
-
-
-def is_staged(root: str) -> bool:
-    return _marker(root).exists()
+def is_staged(spark: SparkSession, root: str) -> bool:
+    return fs.exists(spark, f"{root}/_STAGED.json")
 
 
 def quality(df: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkloom.sources import fs
+
 
 def read_stream(spark: SparkSession, root: str, schema, glob: str = "*.parquet", files_per_batch: int = 100) -> DataFrame:
     """Files that appear below a folder, in bounded micro-batches."""
@@ -23,7 +24,7 @@ def run_once(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out
     spark = stream.sparkSession
     if not resume:
         n = 1
-        while os.path.exists(f"{checkpoint}-{n}"):
+        while fs.exists(spark, f"{checkpoint}-{n}"):
             n += 1
         checkpoint = f"{checkpoint}-{n}"
         spark.createDataFrame([], "empty int").write.mode("overwrite").parquet(out)
@@ -33,7 +34,7 @@ def run_once(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out
 
     query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(f"{out}/batch=*").count() if any(x.startswith("batch=") for x in (os.listdir(out) if os.path.isdir(out) else [])) else 0
+    return spark.read.parquet(f"{out}/batch=*").count() if fs.glob(spark, f"{out}/batch=*") else 0
 
 
 def embed_stream(stream: DataFrame, embed: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, resume: bool = True) -> int:
