@@ -31,7 +31,7 @@ PRECISION = 0.995
 VENDOR_DIRS = frozenset("vendor third_party third-party thirdparty node_modules bower_components jspm_packages deps external externals extern godeps site-packages dist-packages pods carthage plugins_vendor vendored".split())
 GENERATED_DIRS = frozenset("__generated__ generated-sources generated-src autogen gen-src gensrc".split())
 CONFIG_ENDINGS = frozenset("env yml yaml properties ini cfg conf config toml tfvars tf hcl xml json txt pem key md rst lock example dist sample template".split())
-_FILE_MARK = re.compile(r"(?i)(?:[.\-_]min|\.bundle|\.chunk|\.pb|_pb2(?:_grpc)?|\.pb2|\.g|\.designer|\.generated|\.gen|_generated|\.freezed|\.g4)\.[a-z]+$|(?:^|/)\d{3,}_auto_[^/]*$|(?:^|/)zz_generated[^/]*$")
+_FILE_MARK = re.compile(r"(?i)(?:[.\-]min|\.bundle|\.chunk|\.pb|_pb2(?:_grpc)?|\.pb2|\.g|\.designer|\.generated|\.gen|_generated|\.freezed|\.g4)\.[a-z]+$|(?:^|/)\d{3,}_auto_[^/]*$|(?:^|/)zz_generated[^/]*$")
 _PATH_MARK = re.compile(r"(?i)(?:^|/)(?:build|target|out|obj)/generated/|(?:^|/)generated/(?:sources|src)/|^(?:gen|generated)/|(?:^|/)(?:public|static|web|wwwroot)/(?:assets|lib|libs|js)/(?:plugins|vendors?|lib|libs)/")
 
 _C = r"^\s*(?://|#|/?\*+!?|--|;|<!--|%|\"\"\"|'''|)\s*"

@@ -4,7 +4,8 @@ Routing: a bounded sample gives micro-centroids, which are grouped into shards o
 vector lives in the shard of its nearest micro-centroid and also visits the shards of its PROBES nearest ones.
 Each shard is one task: it builds the graph (chunkloom.llm.hnsw) over the vectors that live there, answers
 these from the graph, and searches it for the visitors.  A shard that would hold more than MAX_SHARD vectors
-is split by hash into parts that all of its vectors visit.  The answers are merged per vector.
+is split by hash into parts that all of its vectors visit; so it is beyond MAX_CENTROIDS x MAX_SHARD vectors, where
+the visits of a vector begin to grow with the table.  The answers are merged per vector.
 
 Equal vectors are one node.  Only the six least chunk_ids of a group of equal vectors can be among anyone's
 five most similar (equal similarity, smaller id first), so six ids stand for the group without any loss.
@@ -58,7 +59,7 @@ class Router:
     """Micro-centroids, the shard of each, and into how many parts a shard is split."""
 
     def __init__(self, sample: np.ndarray, rows: int, shard_rows: int = SHARD_ROWS, max_shard: int = MAX_SHARD):
-        shards = max(1, math.ceil(rows / shard_rows))
+        shards = min(MAX_CENTROIDS, max(1, math.ceil(rows / shard_rows)))
         if shards == 1 or len(sample) < 2 * shards:
             self.centroids, self.shard = np.zeros((1, sample.shape[1] if sample.ndim == 2 else WIDTH), np.float32), np.zeros(1, np.int32)
             self.parts = np.array([max(1, math.ceil(rows / max_shard))])
