@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions import text as X
 from chunkloom.functions.keys import blake2b_hex
+from chunkloom.operators.partitions import spread
 from chunkloom.operators.symbols import symbols
 from chunkloom.schema import CHUNK_COLUMNS, struct
 
@@ -90,7 +91,7 @@ def chunk_files(files: DataFrame, allow: list[str], snapshot: str = "", limit: i
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, target)], schema=target)
 
     used = files.select(*[X.blank_to(F.col(c)).alias(c) for c in ("content", "repo_name", "path", "language", "license")])
-    return used.where("content <> ''").mapInArrow(run, schema)
+    return spread(used.where("content <> ''")).mapInArrow(run, schema)
 
 
 def token_windows(df: DataFrame, id_col: str, text_col: str, window: int, overlap: int) -> DataFrame:

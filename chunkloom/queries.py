@@ -125,8 +125,8 @@ def blake2b_chunk_id(spark, d):
 )
 def token_count_bounds(spark, d):
     rows = chunks_of(spark, d).select("chunk_id", text.blank_to(F.col("text")).alias("text")).distinct()
-    exact = text.count_tokens(F.col("text"))
-    return rows.select("chunk_id", exact.alias("n_exact"), text.bounded_tokens(F.col("text"), exact, 8, 512).alias("n_tokens"))
+    counted = rows.withColumn("n_exact", text.count_tokens(F.col("text")))  # once, for it is used twice
+    return counted.select("chunk_id", "n_exact", text.bounded_tokens(F.col("text"), F.col("n_exact"), 8, 512).alias("n_tokens"))
 
 
 @query(
