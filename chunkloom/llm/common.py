@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkloom.operators.partitions import spread  # noqa: F401  (for the operators)
+
 #: A token: a run of ASCII letters, digits and underscores, or any other single character but ASCII white space.
 TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r\f\v]"
 #: A word: a run of Unicode letters or digits, to be lower-cased.

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkloom.llm.common import spread
 from chunkloom.llm.trigrams import Index
 
 #: Parts of a file name that mark a sample or template.
@@ -290,7 +291,7 @@ def _blocks(df: DataFrame, emit: Callable, schema: str, size: int = 2000) -> Dat
                 ids, paths, texts = (part.column(i).to_pylist() for i in range(3))
                 yield emit(ids, texts, find_block(texts, paths))
 
-    return df.mapInArrow(run, schema)
+    return spread(df).mapInArrow(run, schema)
 
 
 def find(chunks: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkloom.llm.common import spread
 from chunkloom.llm.grouped_split import canonical_or_self
 
 #: Documented bounds of the fit: sampled rows per class, hashed dimensions, passes over the sample.
@@ -312,7 +313,7 @@ def score_rows(chunks: DataFrame, model: Model) -> DataFrame:
             told = [",".join(e) or None for e in ev]
             yield pa.RecordBatch.from_arrays([pa.array(repos, pa.string()), pa.array(paths, pa.string()), pa.array(told, pa.string()), pa.array(sc, pa.float64())], ["repo_name", "path", "evidence", "score"])
 
-    return chunks.select("repo_name", "path", "text").where("path is not null").mapInArrow(run, FOUND)
+    return spread(chunks.select("repo_name", "path", "text").where("path is not null")).mapInArrow(run, FOUND)
 
 
 def files(chunks: DataFrame, model: Model | None = None) -> DataFrame:

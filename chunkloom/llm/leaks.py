@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import WORD_RE
+from chunkloom.llm.common import WORD_RE, spread
 
 MIN_WORDS = 10
 #: Words of items that one pass may carry (about 40 bytes each).
@@ -151,7 +151,7 @@ def leaks(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, max_ite
     items = items.select(F.col("item_id").cast("bigint"), "text").where("item_id is not null and text is not null")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0  # characters: at least as many as words
     parts = max(1, -(-total // max_item_words))
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    docs = spread(docs.select(F.col("doc_id").cast("bigint"), "text"))
     found = []
     for p in range(parts):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p) if parts > 1 else items

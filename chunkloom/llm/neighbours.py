@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkloom.llm import hnsw
-from chunkloom.llm.common import checkpointed
+from chunkloom.llm.common import checkpointed, spread
 
 K, WIDTH = 5, 64
 SHARD_ROWS, MAX_SHARD = 32_768, 65_536
@@ -115,7 +115,7 @@ def _routed(vectors: DataFrame, router: Router) -> DataFrame:
             data = pa.Array.from_buffers(pa.binary(4 * WIDTH), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(task.astype(np.int32)), pa.array(home), pa.array(keys[rows]), data.take(pa.array(rows))], ["task", "home", "key", "vector"])
 
-    return vectors.select("embedding", "key").mapInArrow(run, ROUTED)
+    return spread(vectors.select("embedding", "key")).mapInArrow(run, ROUTED)
 
 
 def _answer(table: pa.Table) -> pa.Table:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import TOKEN, TOKEN_RE
+from chunkloom.llm.common import TOKEN, TOKEN_RE, spread
 
 MAX_TOKENS, OVERLAP = 512, 32
 
@@ -114,7 +114,7 @@ def split_text(text: str, limit: int = MAX_TOKENS, overlap: int = OVERLAP) -> li
 def oversized(df: DataFrame, id_col: str = "chunk_id", text_col: str = "text", limit: int = MAX_TOKENS) -> DataFrame:
     """The distinct (id, text) rows whose text has more than limit tokens, counted in the JVM and not by n_tokens."""
     count = F.regexp_count(F.col(text_col), F.lit(TOKEN.replace(r"\v", r"\x0B")))
-    return df.select(id_col, text_col).where(F.length(text_col) > limit).where(count > limit).dropDuplicates([id_col, text_col])
+    return spread(df.select(id_col, text_col).where(F.length(text_col) > limit)).where(count > limit).dropDuplicates([id_col, text_col])
 
 
 def split_oversized(df: DataFrame, id_col: str = "chunk_id", text_col: str = "text", limit: int = MAX_TOKENS, overlap: int = OVERLAP) -> DataFrame:

@@ -21,6 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from chunkloom.llm.common import spread
+
 #: Fixed value: the published pre-tokenizer pattern of the byte_bpe_50k vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -196,7 +198,7 @@ def encode_text(text: str | None, path: str = DEFAULT_VOCABULARY) -> list[int]:
 
 
 def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """Rows (id, ids) for every row of df, without a shuffle.
+    """Rows (id, ids) for every row of df, in one pass.
 
     Null and empty texts give an empty list; repeated rows give repeated results; other columns are not read.
     The vocabulary is a file that every executor can read.
@@ -208,7 +210,7 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ids = [encode_text(t, vocabulary) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
 
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return spread(df.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 
 
 def vocabulary_path() -> str:
