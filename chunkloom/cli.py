@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from chunkloom import config
 from chunkloom.plans import pipeline
+from chunkloom.ship import ship
 from chunkloom.sources.files import MissingInput
 
 log = logging.getLogger("chunkloom")
@@ -71,7 +72,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "index" and a.shard_id is None and not a.all:
         log.error("index needs --shard-id or --all")
         return 2
-    spark = spark or SparkSession.builder.appName(f"chunkloom-{a.command}").getOrCreate()
+    spark = ship(spark or SparkSession.builder.appName(f"chunkloom-{a.command}").getOrCreate())
     try:
         if a.command == "stage":
             if a.languages:

@@ -13,5 +13,8 @@ def spread(df: DataFrame) -> DataFrame:
     filters and projections: the splits are counted without running anything.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    plan = df._jdf.queryExecution()
+    if "Exchange" in plan.executedPlan().toString():  # counting the splits would run it
+        return df
+    splits = plan.toRdd().getNumPartitions()
     return df.repartition(cores) if 0 < splits < cores else df

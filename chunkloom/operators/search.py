@@ -113,7 +113,7 @@ def parse_factory(text: str) -> dict[str, int | bool]:
     if not m:
         raise ValueError(f"unsupported index {text!r}")
     g = m.groupdict()
-    return {"rotate": bool(g["opq"]), "lists": int(g["lists"] or 0), "parts": int(g["pq"] or 0), "bits": int(g["bits"] or 8), "flat": bool(g["flat"])}
+    return {"rotate": bool(g["opq"]), "width": int(g["width"] or 0), "lists": int(g["lists"] or 0), "parts": int(g["pq"] or 0), "bits": int(g["bits"] or 8), "flat": bool(g["flat"])}
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 15, seed: int = 42) -> np.ndarray:
@@ -145,16 +145,21 @@ class VectorIndex:
         return np.stack([((self.codebooks[j] ** 2).sum(1)[None] - 2 * x[:, j * w : (j + 1) * w] @ self.codebooks[j].T).argmin(1) for j in range(m)], axis=1).astype(np.uint8)
 
 
-def train_index(vectors: DataFrame, lists: int, parts: int = 0, codes: int = 256, rotate: bool = False, train_sample: int = 100_000, seed: int = 42, key: str = "cid", vector: str = "embedding") -> VectorIndex:
+def train_index(vectors: DataFrame, lists: int, parts: int = 0, codes: int = 256, rotate: bool = False, train_sample: int = 100_000, seed: int = 42, key: str = "cid", vector: str = "embedding", width: int = 0) -> VectorIndex:
     """Trains on a bounded sample (train_sample rows by seeded hash); the sample is all that reaches the driver.
 
-    The rotation is learnt by alternating between codebooks and the orthogonal map that fits them best.
+    A width under the vectors' own keeps that many principal directions.  The rotation is learnt by alternating
+    between codebooks and the orthogonal map that fits them best.
     """
     got = sample(vectors.where(F.col(vector).isNotNull()).select(key, vector), train_sample, key, seed).toArrow()
     if not got.num_rows:
         raise ValueError("no vectors to train on")
     dim = len(got.column(vector)[0].as_py())
     x = _matrix(got.column(vector).combine_chunks(), dim)
+    base = np.eye(dim)
+    if 0 < width < dim:
+        base = np.linalg.eigh(x.T @ x)[1][:, ::-1][:, :width]
+        x, dim = x @ base, width
     rotation = np.eye(dim)
 
     def books(y: np.ndarray, rounds: int) -> np.ndarray:
@@ -173,7 +178,7 @@ def train_index(vectors: DataFrame, lists: int, parts: int = 0, codes: int = 256
                 u, _, v = np.linalg.svd(x.T @ back)
                 rotation = u @ v
     y = x @ rotation
-    return VectorIndex(rotation, kmeans(y, lists, seed=seed), books(y, 12) if parts else None)
+    return VectorIndex(base @ rotation, kmeans(y, lists, seed=seed), books(y, 12) if parts else None)
 
 
 def add_to_index(vectors: DataFrame, index: VectorIndex, key: str = "cid", vector: str = "embedding") -> DataFrame:

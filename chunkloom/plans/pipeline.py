@@ -41,19 +41,28 @@ def chunk(spark: SparkSession, cfg: Config, languages: list[str] | None = None,
     files.write_partitioned(made, out or cfg.chunks_dir, "language")
 
 
-def assign_pairs(chunks: DataFrame, listed: DataFrame, seed: int, hash_fn: str = "blake2b") -> DataFrame:
+def attach_docs(chunks: DataFrame, docs: DataFrame | None, name: str, on: str = "chunk_id") -> DataFrame:
+    """Adds a text from elsewhere (on, doc) to the chunks, null where there is none; of several the least."""
+    if docs is None:
+        return chunks.withColumn(name, F.lit(None).cast("string"))
+    one = docs.where(F.col(on).isNotNull()).groupBy(on).agg(F.min("doc").alias(name))
+    return chunks.join(one, on, "left")
+
+
+def assign_pairs(chunks: DataFrame, listed: DataFrame, seed: int, hash_fn: str = "blake2b", joined: DataFrame | None = None, commits: DataFrame | None = None) -> DataFrame:
     """Sets query_text, query_source and eval_split.
 
-    `listed` holds evaluation repositories (repo_name); it is a list that people keep, so it is a small join side.
+    `joined` and `commits` (chunk_id, doc) hold documentation and commit subjects from elsewhere.  `listed` holds evaluation repositories (repo_name); it is a list that people keep, so it is a small join side.
     """
-    nothing = F.lit(None).cast("string")
-    q = keep_existing_query(F.col("query_text"), assign_query(nothing, extract_docstring("text", "language"), nothing))
+    columns = chunks.columns
+    chunks = attach_docs(attach_docs(chunks, joined, "_joined"), commits, "_commit")
+    q = keep_existing_query(F.col("query_text"), assign_query(F.col("_joined"), extract_docstring("text", "language"), F.col("_commit")))
     empty = F.lit(listed.isEmpty())
     flag = listed.select("repo_name").distinct().withColumn("_listed", F.lit(True))
     slot = keys.bucket(F.col("repo_name"), seed, hash_fn=hash_fn)
     joined = chunks.join(F.broadcast(flag), "repo_name", "left") if listed.count() < 1_000_000 else chunks.join(flag, "repo_name", "left")
     out = joined.withColumn("_q", q).withColumns({"query_text": F.col("_q.query_text"), "query_source": F.col("_q.query_source"), "eval_split": keys.eval_split(slot, F.coalesce("_listed", F.lit(False)), empty)})
-    return canonical(out, [*CHUNK_COLUMNS]) if "shard_id" not in chunks.columns else out.drop("_q", "_listed")
+    return out.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "query_text", "query_source", "eval_split"])])
 
 
 def shard(spark: SparkSession, cfg: Config, target: int | None = None, pairs: bool = True, eval_list: str | None = None, hash_fn: str = "blake2b") -> DataFrame:
@@ -110,7 +119,7 @@ def index(spark: SparkSession, cfg: Config, factory: str | None = None) -> str:
     vectors = spark.read.parquet(f"{cfg.vectors_dir}/batch=*").select(F.col("chunk_id").alias("cid"), "embedding")
     if not kind["lists"]:
         return cfg.vectors_dir
-    ix = search.train_index(vectors, int(kind["lists"]), int(kind["parts"]), 2 ** int(kind["bits"]), bool(kind["rotate"]), cfg.index.train_sample, cfg.run.seed)
+    ix = search.train_index(vectors, int(kind["lists"]), int(kind["parts"]), 2 ** int(kind["bits"]), bool(kind["rotate"]), cfg.index.train_sample, cfg.run.seed, width=int(kind["width"]))
     search.add_to_index(vectors, ix).write.mode("overwrite").partitionBy("list_id").parquet(f"{cfg.index_dir}/lists")
     books = {} if ix.codebooks is None else {"codebooks": ix.codebooks}
     model = io.BytesIO()

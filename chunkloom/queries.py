@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from chunkloom.config import Corpus
 from chunkloom.functions import docs, keys, text, vectors
 from chunkloom.operators import chunking, embedding, metrics, search, sharding
-from chunkloom.plans import evaluate, publish
+from chunkloom.plans import evaluate, pipeline, publish
 from chunkloom.schema import CHUNK_COLUMNS
 from chunkloom.sources import files, npy
 from chunkloom.sources.files import table
@@ -161,6 +161,20 @@ def assign_query_priority(spark, d):
     return rows.select("chunk_id", text.assign_query(F.col("a"), F.col("b"), F.col("c")).alias("q")).select("chunk_id", "q.query_text", "q.query_source")
 
 
+@query(
+    f"""WITH b AS (SELECT DISTINCT chunk_id, coalesce(text,'') AS text FROM chunks), d AS (SELECT chunk_id, min(query_text) AS doc FROM chunks WHERE query_source='codesearchnet' GROUP BY 1),
+    c AS (SELECT chunk_id, min(query_text) AS doc FROM chunks WHERE query_source='commit' GROUP BY 1), q AS (SELECT b.chunk_id, nullif({_clean_sql('d.doc')},'') AS a, nullif({_clean_sql('c.doc')},'') AS c FROM b LEFT JOIN d USING (chunk_id) LEFT JOIN c USING (chunk_id))
+    SELECT chunk_id, coalesce(a, c, '') AS query_text, CASE WHEN a IS NOT NULL THEN 'codesearchnet' WHEN c IS NOT NULL THEN 'commit' ELSE 'none' END AS query_source FROM q"""
+)
+def joined_docs_priority(spark, d):
+    def told(source: str):
+        return chunks_of(spark, d).where(F.col("query_source") == source).select("chunk_id", F.col("query_text").alias("doc"))
+
+    rows = chunks_of(spark, d).select("chunk_id").distinct()
+    rows = pipeline.attach_docs(pipeline.attach_docs(rows, told("codesearchnet"), "a"), told("commit"), "c")
+    return rows.select("chunk_id", text.assign_query(F.col("a"), F.lit(None).cast("string"), F.col("c")).alias("q")).select("chunk_id", "q.query_text", "q.query_source")
+
+
 @query(r"SELECT item_id, 'Instruct: Given a natural language query, retrieve relevant code snippets' || chr(10) || 'Query: ' || text AS wrapped FROM heldout_items")
 def query_wrapper(spark, d):
     return table(spark, d, "heldout_items").select("item_id", text.wrap_query("Given a natural language query, retrieve relevant code snippets", F.col("text")).alias("wrapped"))

@@ -53,9 +53,10 @@ def project_raw(df: DataFrame, language: str | None = None) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, root: str, languages: list[str] | None = None) -> DataFrame:
-    """Staged files below root/lang=<language>/; the folder column only prunes and goes again."""
+    """Staged files below root/lang=<language>/, or those of a glob; the folder column only prunes and goes again."""
     try:
-        df = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet").parquet(root)
+        reader = spark.read.option("pathGlobFilter", "*.parquet")
+        df = (reader if any(c in root for c in "*?[{") else reader.option("basePath", root)).parquet(root)
     except AnalysisException as e:
         raise MissingInput(root) from e
     if "lang" in df.columns and languages is not None:

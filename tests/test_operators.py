@@ -70,8 +70,9 @@ def test_index_recall(spark):
     exact = {(r.qid, r.cid) for r in search.exact_topk(q, c, 5).collect()}
     kind = search.parse_factory("OPQ4,IVF8_HNSW32,PQ4")
     assert kind["rotate"] and kind["lists"] == 8 and kind["parts"] == 4
-    for parts, rotate in ((0, False), (4, True)):
-        ix = search.train_index(c, 8, parts, 32, rotate, 360)
+    assert search.parse_factory("OPQ64_256,IVF65536_HNSW32,PQ64")["width"] == 256
+    for parts, rotate, width in ((0, False, 0), (4, True, 0), (4, True, 12)):
+        ix = search.train_index(c, 8, parts, 32, rotate, 360, width=width)
         found = {(r.qid, r.cid) for r in search.search_index(q, search.add_to_index(c, ix), ix, 5, 4, 8).collect()}
         assert len(found & exact) / len(exact) > 0.9
     with pytest.raises(ValueError):
