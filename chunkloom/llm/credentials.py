@@ -33,7 +33,7 @@ _NOUN = (
     r"|encryption[_-]?key|master[_-]?key|account[_-]?key|service[_-]?key|client[_-]?key|storage[_-]?key|shared[_-]?key|license[_-]?key|raw[_-]?key|mot[_-]?de[_-]?passe|contrase(?:n|ñ)a|passwort|kennwort|senha|clave)"
 )
 _QUOTED = r"(?:[rbuf@$]{0,2})(?P<q>\"\"\"|'''|[\"'`])(?P<value>[^\"'`\n]{4,400})(?P=q)"
-_PIECES = r"(?P<more>(?:\s*(?:\+|\.|\\\s*\n|\n)?\s*(?:\\\s*\n\s*)?(?P<mq>[\"'`])[^\"'`\n]{1,200}(?P=mq))*)"
+_PIECES = r"(?P<more>(?:\s{0,60}(?:\+|\.|\\|\n)?\s{0,60}(?P<mq>[\"'`])[^\"'`\n]{1,200}(?P=mq))*)"
 
 _PLACEHOLDER = re.compile(
     r"""(?ix)^(?:change[-_ ]?me.*|change[-_]?this.*|dummy.*|todo.*|fixme.*|tbd|x{3,}.*|\*+|\.{3,}|-+|_+|n/?a|none|null|nil|undefined|true|false|yes|no|on|off|enabled|disabled|required|optional|unset|empty
@@ -161,7 +161,7 @@ def _headed(m: re.Match, text: str) -> bool:
 
 
 def _commented(m: re.Match, text: str) -> bool:
-    before = text[text.rfind("\n", 0, m.start()) + 1 : m.start()]
+    before = text[max(text.rfind("\n", 0, m.start()) + 1, m.start() - 200) : m.start()]
     told = re.search(r"(?i)(?:\#|//|--|;|\*|^\s*)[^\n]*(?:login|cred|access|account|passw|remove|tmp|temp|auth|secret|user|admin)", before)
     return bool(told) and usable(m.group("value"))
 
@@ -196,7 +196,7 @@ RULES: tuple[Rule, ...] = (
     Rule("call", r"(?i)(?:login|log_in|logon|signin|sign_in|connect|session|authenticate|authorize|credentials?|set_auth|basic_auth)\w*\(\s*[\"'][^\"'\n]{1,80}[\"']\s*,\s*[\"'](?P<value>[^\"'\n]{6,200})[\"']", _called),
     Rule("header", rf"(?i)(?P<name>{_STEM[:-1]}|auth)[\w.-]{{0,20}})[\"']\s*,\s*(?:value=)?[\"'](?P<value>[^\"'\n]{{6,400}})[\"']", _headed),
     Rule("comment", r"(?m):[ \t]*[\w.@-]{1,40} / (?P<value>\S{8,200})[ \t]*$", _commented),
-    Rule("quoted", rf"(?i)(?P<name>{_STEM}[\w-]{{0,20}})(?:[\"']?\]|[\"'])?\s{{0,4}}(?::\s*(?:str|string)\s*=|:=|===?|!==?|=>|=|:|\|\|=|\?\?=)\s*\(?\s*{_QUOTED}{_PIECES}", _assigned),
+    Rule("quoted", rf"(?i)(?P<name>{_STEM}[\w-]{{0,20}})(?:[\"']?\]|[\"'])?\s{{0,4}}(?::\s*(?:str|string)\s*=|:=|===?|!==?|=>|=|:|\|\|=|\?\?=)\s{{0,60}}\(?\s{{0,60}}{_QUOTED}{_PIECES}", _assigned),
     Rule("attribute", r"(?i)(?:name|key)\s*=\s*[\"'](?P<name>[\w.-]{1,80})[\"']\s+value\s*=\s*[\"'](?P<value>[^\"'\n]{6,400})[\"']", _headed),
     Rule("element", r"(?i)<(?P<name>[\w.-]{0,40}?(?:password|passwd|pwd|secret|token|key)[\w.-]{0,10})>\s*(?P<value>[^<\s]{6,400})\s*</", _bare),
     Rule("bare", r"(?im)^[ \t]*(?:[#;]\s*|//\s*|-\s+)?(?:export\s+|set\s+)?(?P<name>[\w.-]{0,60}(?:pass|pwd|pw|secret|token|cred|key|contrase|kennwort|senha|clave)[\w-]{0,20})[ \t]*[:=][ \t]*(?P<value>[^\s\"'#]\S{4,400})(?:[ \t]+[#;].*)?[ \t]*$", _bare, True),

@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from chunkloom.llm.common import spread
 from chunkloom.llm.grouped_split import canonical_or_self
 
-#: Documented bounds of the fit: sampled rows per class, hashed dimensions, passes over the sample.
+#: Documented bounds of the fit: sampled rows, hashed dimensions, passes over the sample.
 SAMPLE_ROWS, DIMENSIONS, PASSES = 6000, 1 << 18, 6
+#: Characters of all sampled texts together; rows are taken whole until it is reached.
+SAMPLE_CHARACTERS = 30_000_000
 #: Precision on held-out repositories that the margin must keep.
 PRECISION = 0.995
 
@@ -69,7 +71,7 @@ VENDORED_NOTICE = re.compile(
     )$"""
 )
 #: A banner over several lines: name and release, an address, authors and licence.
-BANNER = re.compile(r"^\s*(?://|#|/?\*+!?)\s*[\w.-]+ v\d+\.\d+(?:\.\d+)?\s*\n\s*(?://|#|\*)\s*(?:https?://\S+\s*\n\s*(?://|#|\*)\s*)?\(c\) [\w.-]+ authors\b.*$", re.M)
+BANNER = re.compile(r"^[ \t]*(?://|#|/?\*+!?)[ \t]*[\w.-]+ v\d+\.\d+(?:\.\d+)?[ \t]*\n[ \t]*(?://|#|\*)[ \t]*(?:https?://\S+[ \t]*\n[ \t]*(?://|#|\*)[ \t]*)?\(c\) [\w.-]+ authors\b.*$", re.M)
 #: A format with a gap for the generator's name is code that writes notices.
 _TEMPLATE = re.compile(r"%[sdv]|\{\w*\}|\$\{|<%|[\"'`].*(?i:generated|do not edit)")
 
@@ -277,7 +279,13 @@ def fit(chunks: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Model, dict[
     salt = F.pmod(F.xxhash64(F.lit(17), "repo_name", "path", "text"), F.lit(1_000_000))
     fold = F.pmod(F.xxhash64(F.coalesce(canonical_or_self(F.col("repo_name")), F.lit(""))), F.lit(5)).cast("int")
     picked = chunks.where("path is not null and text is not null").where(salt < int(min(1.0, sample_rows / max(total, 1)) * 1_000_000) + 1)
-    rows = [(r.text, r.path, evidence_of(r.text, r.path), r.fold) for r in picked.select("text", "path", fold.alias("fold")).limit(2 * sample_rows).toLocalIterator() if not is_config(r.path)]
+    rows, characters = [], 0
+    for r in picked.select("text", "path", fold.alias("fold")).limit(2 * sample_rows).toLocalIterator():
+        if not is_config(r.path):
+            rows.append((r.text, r.path, evidence_of(r.text, r.path), r.fold))
+            characters += len(r.text)
+            if characters > SAMPLE_CHARACTERS:
+                break
     rows.sort(key=lambda r: (r[1], r[0]))
     learn, held = [r[:3] for r in rows if r[3] != 0], [r[:3] for r in rows if r[3] == 0]
     w = train(learn)
