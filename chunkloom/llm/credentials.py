@@ -84,7 +84,9 @@ def _split_name(name: str) -> str:
     return re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", last).lower().replace("-", "_")
 
 
-_NAME_END = re.compile(rf"(?i)(?:^|_|\b)(?:\w*_)?(?:{_NOUN})(?:_?\d+)?$")
+#: What stands before the word for a credential without a separator, as in DBPASS.
+_OWNERS = "db|sql|pg|my|app|user|usr|admin|root|ftp|sftp|smtp|imap|mail|ssh|ldap|redis|mongo|api|aws|s3|jwt"
+_NAME_END = re.compile(rf"(?i)(?:^|_|\b)(?:\w*_)?(?:{_OWNERS})?(?:{_NOUN})(?:_?\d+)?$")
 
 
 def secret_name(name: str) -> bool:

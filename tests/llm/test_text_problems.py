@@ -23,6 +23,7 @@ USABLE = [
     ("db_password: mbJE%8EAQfmEz7CeRY", "a.yml"),
     ("export API_KEY=Marker!steady9999", ".env"),
     ("SECRET_TOKEN=Handle#hidden3696", "x.env"),
+    ("export DBPASS=sable87271!account", "x.env"),
     ('url = "postgres://app:m3cWypUz@h-35.example/db"', "a.java"),
     ('x = "Server=a.test;User Id=app;Password=t8R0dFhqgVOdn3;Timeout=79"', "a.py"),
     ('k = "ghp_' + "aB3dE6gH9j" * 3 + 'kL2mN5"', "a.go"),
