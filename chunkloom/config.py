@@ -10,6 +10,9 @@ from pathlib import Path
 from typing import Any
 
 
+# The sections, keys and defaults below are the contract of configuration files.
+
+
 @dataclass
 class Run:
     name: str = "run-v1"

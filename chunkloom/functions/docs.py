@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType
 LINE_MARK = {"java": "//", "javascript": "//", "php": "//", "go": "//", "ruby": "#"}
 BLOCK_LANGUAGES = frozenset(("java", "javascript", "php", "go"))
 
+#: The patterns that decide which text is documentation and where its first sentence ends.
 _QUOTES = ('"""', "'''")
 _DEFINITION = re.compile(r"(?:def|class)\s+\w+\s*\([^)]*\)\s*(?:->[^:]+)?:\s*\n\s*[rub]?")
 _GUTTER = re.compile(r"^\s*\*\s?", re.M)
