@@ -50,12 +50,17 @@ _NOT_SECRET_NAME = re.compile(
 )
 
 
+_CAMEL_WORDS = re.compile(r"[A-Za-z]?[a-z]{2,}(?:[-_./]?[A-Z][a-z]{2,})*")
+
+
 def random_looking(v: str) -> bool:
-    """Mixed character classes, or hexadecimal, of eight and more characters and not only lower-case words."""
-    if len(v) < 8 or " " in v or _HOST.match(v):
+    """Mixed character classes of eight and more characters; letters alone count if their case is not that of words."""
+    if len(v) < 8 or " " in v or _HOST.match(v) or _CAMEL_WORDS.fullmatch(v):
         return False
     classes = sum(bool(re.search(p, v)) for p in ("[a-z]", "[A-Z]", r"\d", r"[^\w\s./-]"))
-    return classes >= 3 or classes == 2 and (len(v) >= 16 or bool(re.search(r"\d", v)) and bool(re.search("[A-Za-z]", v)))
+    if classes >= 3 or classes == 2 and (len(v) >= 16 or bool(re.search(r"\d", v)) and bool(re.search("[A-Za-z]", v))):
+        return True
+    return bool(re.search("[a-z]", v)) and bool(re.search("[A-Z]", v))
 
 
 def usable(v: str, strong: bool = True) -> bool:

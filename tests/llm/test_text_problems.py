@@ -24,6 +24,7 @@ USABLE = [
     ("export API_KEY=Marker!steady9999", ".env"),
     ("SECRET_TOKEN=Handle#hidden3696", "x.env"),
     ("export DBPASS=sable87271!account", "x.env"),
+    ('login("kelp", "TetBhQiVLpVi")', "a.rb"),
     ('url = "postgres://app:m3cWypUz@h-35.example/db"', "a.java"),
     ('x = "Server=a.test;User Id=app;Password=t8R0dFhqgVOdn3;Timeout=79"', "a.py"),
     ('k = "ghp_' + "aB3dE6gH9j" * 3 + 'kL2mN5"', "a.go"),
@@ -45,6 +46,7 @@ NOT_USABLE = [
     ("SECRET=%PASSWORD%", "a.env"),
     ('min_password_len = "16"', "a.py"),
     ('label = "Enter your password"', "a.py"),
+    ('auth_token = "TokenProviderBean"', "a.py"),
     ('checksum = "c5922a2cffa59bfc0c8ae068ce016d9164db56abbaf5298ffbc5a19fd75c9a7d"', "a.py"),
     ("integrity: sha512-V4tFIKm/faZd3AnmVaODF7dR9LKpPRvwXtti8b46ROSM==", "a.yml"),
     ('public_key = "-----BEGIN CERTIFICATE-----\\n8OqWpa8MXBMff5Mt"', "a.py"),
