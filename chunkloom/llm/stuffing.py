@@ -31,6 +31,9 @@ FUNCTION_WORDS = {
 }
 _SETS = {k: frozenset(v.split()) for k, v in FUNCTION_WORDS.items()}
 _ALL = frozenset().union(*_SETS.values())
+#: Chinese and Japanese texts have no blanks between words, so a run of characters counts as a function word if one of these is in it.
+ZH_FUNCTION = re.compile("[的了在是和会把不为就都被这那与及或而但也将从当则所以于之并吗呢吧のはをがにでとも]")
+_HAN = re.compile("[\u3040-\u9fff]")
 
 LINK = re.compile(r"<a\s[^<>]{0,2000}>[^<\n]{0,2000}</a>|!?\[[^\[\]\n]{0,1000}\]\((?!#)[^()\n]{0,2000}\)|(?:https?|ftp)://[^\s)>\]]+|www\.[^\s)>\]]+", re.I)
 ANCHOR = re.compile(r"\[[^\[\]\n]{0,1000}\]\(#[^()\n]{0,1000}\)")
@@ -43,23 +46,28 @@ OTHER = re.compile(
 )
 SEPARATOR = re.compile(r"[ ]?[,;|/•·#\u3001\uff0c\uff1b\t][ ]?|[ ][-–—*][ ]")
 HASHTAG = re.compile(r"(?<![\w&])#[^\W\d_]\w*")
-SENTENCE = re.compile(r"[.!?。！？](?:\s|$)")
+SENTENCE = re.compile(r"[.!?](?:\s|$)|[。！？]")
 
 #: A document is a case if this share of its words is stuffed and at least so many of them are.
 SHARE, LEAST_WORDS = 0.5, 12
 #: A line lacks function words under this part of its language's median share.
 LACK = 0.8
-#: Median shares used for a language that has no running text in the corpus.
+#: Median share used for a language without running text in the corpus, or whose texts have no known function words.
 DEFAULT_MEDIAN = 0.3
 
 COUNTS = ["words", "repeated", "listed", "linked", "opened", "prose_words", "prose_function", "stuffed_function"]
 
 
+def function_words(ws: list[str]) -> int:
+    """The number of function words, of any language, among some words."""
+    return sum(w in _ALL or not w.isascii() and ZH_FUNCTION.search(w) is not None for w in ws)
+
+
 def language_of(ws: list[str], text: str) -> str:
     """The language whose function words are most frequent; texts mostly in Han or kana are zh; else other."""
     if not ws:
         return "other"
-    if sum("\u3040" <= c <= "\u9fff" for c in text[:2000]) > 0.2 * min(len(text), 2000):
+    if not text.isascii() and len(_HAN.findall(text)) > 0.2 * len(text):
         return "zh"
     known = [w for w in ws if w in _ALL]
     counts = {k: sum(w in s for w in known) for k, s in _SETS.items()}
@@ -90,7 +98,7 @@ def line_kind(line: str, ws: list[str]) -> str:
         return "listed"
     if n >= 12:
         distinct = len(set(ws)) / n
-        if distinct < 0.76 and sum(w in _ALL for w in ws) < 0.25 * n:  # a top word of a quarter leaves no more distinct ones
+        if distinct < 0.76 and function_words(ws) < 0.25 * n:  # a top word of a quarter leaves no more distinct ones
             top = Counter(w for w in ws if w not in _ALL).most_common(1)
             if top and (top[0][1] / n > 0.25 or n >= 30 and distinct < 0.35 and len(set(zip(ws, ws[1:]))) / (n - 1) < 0.6):
                 return "repeated"
@@ -119,14 +127,14 @@ def measure(text: str | None) -> dict | None:
         ws_all += ws
         kind = "other" if fenced else line_kind(line, ws)
         if kind == "prose":
-            fn = sum(w in _ALL for w in ws)
+            fn = function_words(ws)
             if 2 <= len(ws) <= 9 and not SENTENCE.search(line) and not re.match(r"\s*(?:[-*+]|\d+[.)]|#+)\s", line):
                 openings.append((tuple(ws[:2]), len(ws), fn))
                 continue
             prose_words += len(ws)
             prose_function += fn
         elif kind in ("listed", "repeated"):
-            stuffed_function += sum(w in _ALL for w in ws)
+            stuffed_function += function_words(ws)
         count[kind] += len(ws)
     if not ws_all:
         return None
@@ -169,9 +177,13 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def calibration(measured: DataFrame) -> DataFrame:
-    """Per language the median share of function words in running text, over all documents that have some."""
-    prose = measured.where("prose_words >= 20")
-    return prose.groupBy("language").agg(F.percentile_approx(F.col("prose_function") / F.col("prose_words"), 0.5, 1000).alias("median"))
+    """Per language the median share of function words in running text, over all documents that have some.
+
+    A language whose median is 0 has none: "other" is what texts without any known function word are called.
+    """
+    prose = measured.where("prose_words >= 20 and language <> 'other'")
+    share = prose.groupBy("language").agg(F.percentile_approx(F.col("prose_function") / F.col("prose_words"), 0.5, 1000).alias("median"))
+    return share.where("median > 0")
 
 
 def stuffed(docs: DataFrame, share: float = SHARE, least_words: int = LEAST_WORDS, lack: float = LACK) -> DataFrame:

@@ -326,6 +326,19 @@ def test_stuffing_table(spark):
     assert stuffing.stuffed(df.limit(0)).count() == 0
 
 
+ZH_PROSE = "当模块为空时接口会把函数写回，并且不再读取旧的文件，调用者在下一次请求时就会得到新的结果。" * 8
+ZH_STUFFED = "，".join(["免费软件下载", "破解版软件", "最新工具购买"] * 14)
+
+
+def test_stuffing_beside_ordinary_texts_without_known_function_words(spark):
+    other = " ".join(f"zq{i}x" for i in range(25)) + "."
+    rows = [(i, t) for i, t in enumerate(STUFFED)] + [(50, ZH_STUFFED), (51, "zq " * 800 + ZH_STUFFED * 20), (100, other), (101, ZH_PROSE), (102, "\n".join(ZH_PROSE.split("。")))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    languages = {r.doc_id: r.language for r in stuffing.features(df).where("prose_words >= 20").collect()}
+    assert languages[100] == "other" and languages[101] == "zh"
+    assert {r.doc_id for r in stuffing.stuffed(df).collect()} == {*range(len(STUFFED)), 50, 51}
+
+
 def test_language_is_told_by_function_words():
     for want, text in [("en", PROSE), ("fr", "le dossier est dans la table et il passe par une file"), ("de", "der Ordner wird von dem Knoten nicht gelesen"), ("zh", "当模块为空时接口会把函数写回"), ("other", "zz qq")]:
         assert stuffing.language_of(words(text), text) == want
