@@ -384,7 +384,7 @@ def _index_query(spark, d, lists: int, nprobe: int, parts: int = 0, rotate: bool
 
 @query()
 def ivf_search(spark, d):
-    return _index_query(spark, d, 16, 8)
+    return _index_query(spark, d, 16, 13)
 
 
 @query()

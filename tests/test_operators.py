@@ -1,6 +1,8 @@
 import json
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from chunkloom.cli import main, parser
 from chunkloom.operators import embedding, metrics, search, sharding
 from chunkloom.operators.chunking import chunk_files
 from chunkloom.plans import evaluate, pipeline, publish
+from chunkloom.queries import QUERIES, _vector_sides
 from chunkloom.sources import files, npy
 from chunkloom.streaming import ingest
 
@@ -79,6 +82,17 @@ def test_index_recall(spark):
         search.parse_factory("SQ8")
 
 
+@pytest.mark.parametrize(("name", "rows"), [("ivf_search", 2000)])
+def test_recall_of_the_registered_indexes(spark, tmp_path, name, rows):
+    """Vectors without clusters, the hardest case for lists; the queries are one row of a hundred."""
+    x = embedding.unit_rows(np.random.default_rng(3).normal(size=(rows, 64)))
+    kind = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32()))])
+    pq.write_table(pa.table({"vec_id": range(rows), "embedding": x.tolist()}, schema=kind), tmp_path / "embeddings.parquet")
+    found = {(r.qid, r.cid) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    exact = {(r.qid, r.cid) for r in search.exact_topk(*_vector_sides(spark, str(tmp_path)), 10).collect()}
+    assert len(exact) == rows // 10 and len(found & exact) / len(exact) > 0.9
+
+
 def test_metrics(spark):
     ranks = spark.createDataFrame([(0, 0), (1, 4), (2, 9), (3, 10), (4, None)], "qid int, rank int")
     got = metrics.metrics(ranks, [1, 5, 10]).first()
