@@ -8,6 +8,7 @@ orthogonal rotation; a search probes the nearest lists, scores codes by lookup,
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -181,6 +182,11 @@ def train_index(vectors: DataFrame, lists: int, parts: int = 0, codes: int = 256
     return VectorIndex(base @ rotation, kmeans(y, lists, seed=seed), books(y, 12) if parts else None)
 
 
+def lists_for(rows: int) -> int:
+    """The number of lists for a table: a third of the root of its rows, so that a list grows no faster than three roots; 16 at least."""
+    return max(16, math.isqrt(max(rows, 0)) // 3)
+
+
 def add_to_index(vectors: DataFrame, index: VectorIndex, key: str = "cid", vector: str = "embedding") -> DataFrame:
     """The index table: (list_id, key, code, vector) of every vector; code is null without codebooks."""
     shared = vectors.sparkSession.sparkContext.broadcast(index)
@@ -196,9 +202,10 @@ def add_to_index(vectors: DataFrame, index: VectorIndex, key: str = "cid", vecto
     return vectors.where(F.col(vector).isNotNull()).select(key, vector).mapInArrow(run, f"list_id int, `{key}` {kind}, code binary, `{vector}` array<float>")
 
 
-def search_index(queries: DataFrame, table: DataFrame, index: VectorIndex, k: int, nprobe: int = 32, rerank: int = 4, qid: str = "qid", cid: str = "cid", vector: str = "embedding") -> DataFrame:
+def search_index(queries: DataFrame, table: DataFrame, index: VectorIndex, k: int, nprobe: int = 32, rerank: int = 4, qid: str = "qid", cid: str = "cid", vector: str = "embedding", rerank_share: float = 0.0) -> DataFrame:
     """(qid, cid, rank, score) by probing lists: the task of a list scores its codes for the queries that probe it, keeps
-    rerank x k of them by code, re-ranks these by the exact inner product, and the best k per query are merged."""
+    rerank x k of them by code, or rerank_share of the list where that is more, re-ranks these by the exact inner
+    product, and the best k per query are merged."""
     shared = table.sparkSession.sparkContext.broadcast(index)
     qt, ct = queries.schema[qid].dataType.simpleString(), table.schema[cid].dataType.simpleString()
 
@@ -215,24 +222,27 @@ def search_index(queries: DataFrame, table: DataFrame, index: VectorIndex, k: in
         ix = shared.value
         who, what, scores = [], [], []
         if left.num_rows and right.num_rows:
-            q = _matrix(left.column(vector).combine_chunks(), len(ix.rotation))
             x = _matrix(right.column(vector).combine_chunks(), len(ix.rotation))
             keys, ids = right.column(cid).to_pylist(), left.column(qid).to_pylist()
-            if ix.codebooks is not None:
-                codes = np.frombuffer(b"".join(right.column("code").to_pylist()), np.uint8).reshape(len(x), -1)
-                m, _, w = ix.codebooks.shape
-                y = q @ ix.rotation
-                rough = sum(((y[:, j * w : (j + 1) * w] @ ix.codebooks[j].T)[:, codes[:, j]] for j in range(m)), np.zeros((len(q), len(x))))
-            else:
-                rough = q @ x.T
-            n = min(len(x), k * max(1, rerank))
-            top = np.argpartition(-rough, n - 1, axis=1)[:, :n] if n < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
-            for i, at in enumerate(top):
-                s = np.round(x[at] @ q[i], DIGITS)
-                for j in np.argsort(-s, kind="stable")[:k]:
-                    who.append(ids[i])
-                    what.append(keys[at[j]])
-                    scores.append(float(s[j]))
+            codes = np.frombuffer(b"".join(right.column("code").to_pylist()), np.uint8).reshape(len(x), -1) if ix.codebooks is not None else None
+            every = _matrix(left.column(vector).combine_chunks(), len(ix.rotation))
+            n = min(len(x), max(k * max(1, rerank), math.ceil(rerank_share * len(x))))
+            step = max(1, BLOCK_NUMBERS // len(x))
+            for a in range(0, len(every), step):  # scores of a block of queries at a time
+                q = every[a : a + step]
+                if codes is not None:
+                    m, _, w = ix.codebooks.shape
+                    y = q @ ix.rotation
+                    rough = sum(((y[:, j * w : (j + 1) * w] @ ix.codebooks[j].T)[:, codes[:, j]] for j in range(m)), np.zeros((len(q), len(x))))
+                else:
+                    rough = q @ x.T
+                top = np.argpartition(-rough, n - 1, axis=1)[:, :n] if n < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
+                for i, at in enumerate(top):
+                    s = np.round(x[at] @ q[i], DIGITS)
+                    for j in np.argsort(-s, kind="stable")[:k]:
+                        who.append(ids[a + i])
+                        what.append(keys[at[j]])
+                        scores.append(float(s[j]))
         return pa.table({qid: pa.array(who, left.schema.field(qid).type), cid: pa.array(what, right.schema.field(cid).type), "score": pa.array(scores, pa.float64())})
 
     found = probes.groupBy("list_id").cogroup(table.groupBy("list_id")).applyInArrow(score, f"`{qid}` {qt}, `{cid}` {ct}, score double")

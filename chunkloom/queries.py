@@ -376,20 +376,22 @@ def vector_row_join(spark, d):
     return chunks_of(spark, d).select("chunk_id", "language").distinct().join(v, "chunk_id", "left").groupBy("language").agg(F.count("*").alias("n"), F.count("has").alias("with_vector"))
 
 
-def _index_query(spark, d, lists: int, nprobe: int, parts: int = 0, rotate: bool = False) -> DataFrame:
+def _index_query(spark, d, parts: int = 0, rotate: bool = False) -> DataFrame:
+    """Lists by the size of the table, four fifths of them probed; a quarter of each list's codes is re-ranked."""
     q, c = _vector_sides(spark, d)
-    ix = search.train_index(c, lists, parts, 32 if parts else 256, rotate, 2000, SEED)
-    return search.search_index(q, search.add_to_index(c, ix), ix, 10, nprobe, rerank=8 if parts else 1)
+    lists = search.lists_for(c.where("embedding is not null").count())
+    ix = search.train_index(c, lists, parts, 32 if parts else 256, rotate, min(125 * lists, 100_000), SEED)
+    return search.search_index(q, search.add_to_index(c, ix), ix, 10, -(-4 * lists // 5), rerank=8 if parts else 1, rerank_share=0.25 if parts else 0.0)
 
 
 @query()
 def ivf_search(spark, d):
-    return _index_query(spark, d, 16, 13)
+    return _index_query(spark, d)
 
 
 @query()
 def pq_search(spark, d):
-    return _index_query(spark, d, 16, 12, 8, True)
+    return _index_query(spark, d, 8, True)
 
 
 # -- embedding and evaluation --------------------------------------------------------------------------------------

@@ -82,7 +82,7 @@ def test_index_recall(spark):
         search.parse_factory("SQ8")
 
 
-@pytest.mark.parametrize(("name", "rows"), [("ivf_search", 2000)])
+@pytest.mark.parametrize(("name", "rows"), [("ivf_search", 2000), ("ivf_search", 20_000), ("pq_search", 2000), ("pq_search", 20_000)])
 def test_recall_of_the_registered_indexes(spark, tmp_path, name, rows):
     """Vectors without clusters, the hardest case for lists; the queries are one row of a hundred."""
     x = embedding.unit_rows(np.random.default_rng(3).normal(size=(rows, 64)))
