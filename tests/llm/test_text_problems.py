@@ -223,6 +223,25 @@ def test_inherited_documentation(spark):
     assert docpairs.documented_functions(df.limit(0)).count() == 0
 
 
+def test_inheritance_through_all_classes(spark):
+    doc = "Adds the two given numbers."
+    chain = "class N0:\n    def deep(self):\n        '''" + doc + "'''\n" + "".join(f"class N{i}(N{i - 1}): pass\n" for i in range(1, 35))
+    rows = [(str(i), repo, lang, t) for i, (repo, lang, t) in enumerate([
+        ("o/r", "python", f"class A:\n    def f(self):\n        '''{doc}'''\n    def g(self):\n        '''Other {doc}'''\n"),
+        ("o/r", "python", "class Empty(A):\n    pass\n"),
+        ("https://github.com/O/r.git", "python", "class C(Mixin[int], pkg.Empty, metaclass=M):\n    def f(self):\n        '''Inherited.'''\n    def g(self):\n        return 1\n    def own(self):\n        return 1\n"),
+        ("o/j", "java", f"public interface Shape extends Base, Named {{\n    /** {doc} */\n    int area(int a);\n}}\n"),
+        ("o/j", "java", "public class Square<T extends X<T>> extends Thing<T, T>\n    implements Other<A<T>>, Shape {\n    @Override\n    public int area(int a) {\n        return a;\n    }\n}\n"),
+        ("o/r", "java", "public class Q extends A {\n    @Override\n    public int f(int a) {\n        return a;\n    }\n}\n"),
+        ("o/d", "python", chain),
+        ("o/d", "python", "class End(N34):\n    def deep(self):\n        return 1\n"),
+        ("o/x", "python", "class X(Y):\n    def f(self):\n        pass\nclass Y(X, Z): pass\nclass Z(X): pass\n"),
+    ])]
+    df = spark.createDataFrame(rows, "chunk_id string, repo_name string, language string, text string").withColumns({c: F.lit(None).cast("string") for c in ("path", "symbol_kind", "symbol_name", "query_text", "query_source")})
+    got = {(r.chunk_id, r.fn_name): r.doc for r in docpairs.documented_functions(df).where("doc_kind = 'inherited'").collect()}
+    assert got == {("2", "f"): doc, ("2", "g"): f"Other {doc}", ("4", "area"): doc, ("7", "deep"): doc}
+
+
 # -- problem 8 -----------------------------------------------------------------------------------------------------
 
 
