@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -102,18 +103,35 @@ def is_config(path: str | None) -> bool:
     return name.rsplit(".", 1)[-1] in CONFIG_ENDINGS or name.startswith(".env")
 
 
+#: Characters of a line that are one part; of a longer line such windows at half their distance are tested, and each comment.
+PART = 400
+_COMMENT = re.compile(r"/\*(?:(?!\*/|/\*).)*|<!--(?:(?!-->|<!--).)*|(?<![:\w])//[ !][^/]*")
+
+
+def _parts(line: str) -> Iterator[tuple[str, str]]:
+    """(part, text to test) of a line; in the windows behind the first one only phrases count that may stand anywhere."""
+    yield line[:PART], line[:PART]
+    if len(line) > PART:
+        for m in _COMMENT.finditer(line):
+            yield m.group(), m.group()
+        for a in range(PART // 2, len(line) - PART // 2, PART // 2):
+            yield line[a : a + PART], "x " + line[a : a + PART]
+
+
 def notice_lines(text: str) -> list[tuple[str, str]]:
-    """(kind, line) of the notices within a text."""
+    """(kind, line) of the notices within a text; of a line of over 400 characters the part that holds the notice."""
     out = []
     for line in text.split("\n"):
-        low = line[:400].lower()
-        if len(line) < 8 or not any(q in low for q in _QUICK):
+        if len(line) < 8:
             continue
-        line = line[:400]
-        if GENERATED_NOTICE.match(line) and not _TEMPLATE.search(line) and "method stub" not in line:
-            out.append(("generated", line))
-        elif VENDORED_NOTICE.match(line) and not re.search(r"[\"'`]\s*;?\s*$", line):
-            out.append(("vendored", line))
+        for part, line in _parts(line):
+            low = part.lower()
+            if not any(q in low for q in _QUICK):
+                continue
+            if GENERATED_NOTICE.match(line) and not _TEMPLATE.search(line) and "method stub" not in line:
+                out.append(("generated", part))
+            elif VENDORED_NOTICE.match(line) and not re.search(r"[\"'`]\s*;?\s*$", line):
+                out.append(("vendored", part))
     return out
 
 
@@ -166,9 +184,11 @@ def masked(text: str) -> str:
     """The text without its notices and licence lines."""
     if _may_have_notice(text):
         text = BANNER.sub("", text)
-        gone = {line for _, line in notice_lines(text)}
+        gone = dict.fromkeys(line for _, line in notice_lines(text))
         if gone:
-            text = "\n".join(x for x in text.split("\n") if x[:400] not in gone)
+            text = "\n".join(x for x in text.split("\n") if x[:PART] not in gone)
+            for part in gone:  # of longer lines, which stay
+                text = text.replace(part, "")
     low = text.lower()
     return _LICENCE_LINE.sub("", text) if "copyright" in low or "license" in low or "licence" in low else text
 

@@ -175,6 +175,18 @@ def test_files_take_nulls(spark):
     assert handwritten.files(df.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize(("notice", "want"), [
+    ("/*! lodash v4.17.1 | (c) the lodash authors */", "vendored"), ("/* automatically generated by protoc-gen from a.proto */", "generated"),
+    ("/* Code generated by protoc " + "word " * 100 + "DO NOT EDIT. */", "generated"), ("do not edit, this is generated again", "generated"), ("const x = 'plain'", None), ("`automatically generated by ${name}`", None),
+])
+def test_notices_in_the_middle_of_long_lines(notice, want):
+    text = "a plain word and " * 60 + notice + " and one more word" * 60
+    assert handwritten.text_evidence(text) == want
+    masked = handwritten.masked(text)
+    assert (notice.strip("/* ")[:30] in masked) == (want is None) and masked.startswith("a plain word")
+    assert handwritten.text_evidence("generated " * 20_000) is None
+
+
 # -- problem 7 -----------------------------------------------------------------------------------------------------
 
 
