@@ -37,10 +37,10 @@ _HAN = re.compile("[\u3040-\u9fff]")
 
 LINK = re.compile(r"<a\s[^<>]{0,2000}>[^<\n]{0,2000}</a>|!?\[[^\[\]\n]{0,1000}\]\((?!#)[^()\n]{0,2000}\)|(?:https?|ftp)://[^\s)>\]]+|www\.[^\s)>\]]+", re.I)
 ANCHOR = re.compile(r"\[[^\[\]\n]{0,1000}\]\(#[^()\n]{0,1000}\)")
-#: Lines of logs, code, tables, lists of versions, stack traces, numbered contents.
+#: Lines of logs, code, tables, lists of versions, stack traces, numbered contents.  Nothing in it is tried twice over a long run, so it is linear.
 OTHER = re.compile(
-    r"""^\s*(?:\|.*\||\d{4}-\d\d-\d\d|\[?\d\d:\d\d|[\w.@/-]+\s*(?:==|>=|~=|<=|\^)\s*v?\d|(?:at|from|File)\s+[\w"./$<]+.*[(:]"""
-    r"""|["'\w.@/-]+"?\s*[:=]\s*["']?[\^~]?v?\d+\.\d+|.*[{};]\s*$|.*\w\(.*\)\s*[;:{]?\s*$|.*\s(?:=|\+=|:=|=>|->)\s|(?:\d+\.)+\d*\s+\S|```|---|===|(?:INFO|WARN|ERROR|DEBUG|TRACE)\b"""
+    r"""^\s*+(?:\|.*\||\d{4}-\d\d-\d\d|\[?\d\d:\d\d|[\w.@/-]++\s*+(?:==|>=|~=|<=|\^)\s*v?\d|(?:at|from|File)\s++[\w"./$<].*[(:]"""
+    r"""|["'\w.@/-]++"?\s*+[:=]\s*+["']?[\^~]?v?\d++\.\d|.*[{};]\s*+$|(?>.*?\w\().*\)\s*+(?:[;:{]\s*+)?$|.*(?<=\s)(?:=|\+=|:=|=>|->)\s|(?:\d++\.)++\d*+\s++\S|```|---|===|(?:INFO|WARN|ERROR|DEBUG|TRACE)\b"""
     r"""|(?:def|func|function|class|return|import|package|public|private|if|for|while|end|else|try|raise|throw|const|let|var|use)\b.*[(){}:;='"$@])""",
     re.X,
 )
@@ -75,17 +75,12 @@ def language_of(ws: list[str], text: str) -> str:
     return best if counts[best] else "other"
 
 
-#: Marks of other lines stand at a line's ends; so much of either end of a longer line is looked at for them.
-END = 300
-
-
 def line_kind(line: str, ws: list[str]) -> str:
     """other | linked | listed | repeated | prose, by the line alone."""
     n = len(ws)
-    ends = line if len(line) <= 2 * END else line[:END] + " " + line[-END:]
     links = LINK.findall(line) if "://" in line or "](" in line or "<a" in line or "www." in line else ()
     tags = HASHTAG.findall(line) if "#" in line else ()
-    if not links and not tags and OTHER.match(ends) or "](#" in line and ANCHOR.search(line):
+    if not links and not tags and OTHER.match(line) or "](#" in line and ANCHOR.search(line):
         if not (n >= 30 and SEPARATOR.search(line) and not re.search(r"[(){}=]", line)):
             return "other"
     if links:

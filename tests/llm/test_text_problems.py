@@ -357,6 +357,14 @@ def test_stuffing_table(spark):
     assert stuffing.stuffed(df.limit(0)).count() == 0
 
 
+def test_marks_in_the_middle_of_long_lines():
+    some = "red wide thing of note " * 30
+    for mark in ("a = b", "a -> b", "a => b", "a += b"):
+        for line in (f"{some}{mark} {some}", f"  {mark} {some}"):
+            assert stuffing.line_kind(line, words(line)) == "other"
+    assert stuffing.line_kind(some, words(some)) != "other" and stuffing.line_kind("if " + some + "(x " + some, words(some)) == "other"
+
+
 ZH_PROSE = "当模块为空时接口会把函数写回，并且不再读取旧的文件，调用者在下一次请求时就会得到新的结果。" * 8
 ZH_STUFFED = "，".join(["免费软件下载", "破解版软件", "最新工具购买"] * 14)
 
