@@ -440,7 +440,7 @@ def eval_report(spark, d):
 
 @query()
 def symbol_chunks(spark, d):
-    docs_ = table(spark, d, "documents").where("doc_kind = 'source'")
+    docs_ = table(spark, d, "documents")
     raw = docs_.select(F.col("text").alias("content"), F.col("source").alias("repo_name"), F.concat(F.lit("doc-"), F.col("doc_id")).alias("path"), F.lower("code_language").alias("language"), F.lit("MIT").alias("license"))
     return chunking.chunk_files(raw, ALLOW, "test", 512, 32, 8).select(*[c for c in CHUNK_COLUMNS if c != "corpus_snapshot"])
 

@@ -93,6 +93,16 @@ def test_recall_of_the_registered_indexes(spark, tmp_path, name, rows):
     assert len(exact) == rows // 10 and len(found & exact) / len(exact) > 0.9
 
 
+def test_documents_of_any_kind_are_chunked(spark, tmp_path):
+    prose, code = "The parser keeps the last token of each line. " * 3, "def f(a, b):\n    return a + b + g(a, b, a, b)\n"
+    rows = [(1, prose, "s", "readme", None), (2, code, "s", "note", "PYTHON"), (3, code, "s", None, "python"), (4, prose * 100, "s", "page", None), (5, None, "s", "qa", None), (6, code, "s", "source", "Python")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string, doc_kind string, code_language string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {}
+    for r in QUERIES["symbol_chunks"](spark, str(tmp_path)).collect():
+        got.setdefault(r.path, set()).add(r.symbol_kind)
+    assert got == {"doc-1": {"whole_file"}, "doc-2": {"function"}, "doc-3": {"function"}, "doc-4": {"window"}, "doc-6": {"function"}}
+
+
 def test_metrics(spark):
     ranks = spark.createDataFrame([(0, 0), (1, 4), (2, 9), (3, 10), (4, None)], "qid int, rank int")
     got = metrics.metrics(ranks, [1, 5, 10]).first()
