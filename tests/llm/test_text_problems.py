@@ -74,6 +74,21 @@ def test_no_credential(text, path):
     assert credentials.find_text(text, path) == []
 
 
+@pytest.mark.parametrize(("text", "path"), [
+    ("export DB_PASSWORD=Handle#hidden3696", "run.sh"), ("ENV DB_PASSWORD=aB3dE6gH9jK2", "Dockerfile"), ("//registry.example.test/:_authToken=aB3dE6gH9jK2mN5", ".npmrc"),
+    ("# DB_PASSWORD=Marker!steady9999", "a.py"), ("// api_key: aB3dE6gH9jK2mN5", "a.js"), ('{"password": "kJ8s!mQ2z"}', "config/default.json"),
+    ('secret_key = "' + "aB3dE6gH9j" * 60 + '"', "a.py"), ("SECRET_KEY=" + "aB3dE6gH9j" * 60, ".env"),
+])
+def test_credential_in_any_file(text, path):
+    spans = credentials.find_text(text, path)
+    assert spans and not credentials.find_text(credentials.redact(text, spans), path)
+
+
+@pytest.mark.parametrize("text", ["self.token = other.token2Name", "api_key = apiKeyV2", "token = getToken2(a)", "secret = A1+b2-Count3", "password: Password2Field,", "token = $TOKEN2x!", "key = arr2[Idx3]"])
+def test_expressions_in_code_are_no_credentials(text):
+    assert credentials.find_text(text, "a.js") == []
+
+
 def test_value_in_pieces_counts_at_its_first():
     text = 'x = 1\npassword = ("aB3dE6" +\n    "gH9jK2mN")\n'
     spans = credentials.find_text(text, "a.py")
