@@ -16,6 +16,8 @@ import numpy as np
 
 #: A clause is given up if it would hold more alternatives.
 MAX_ALTERNATIVES = 64
+#: A class of more characters ends a literal.
+MAX_CLASS = 16
 
 
 def _times(left: frozenset[str], right: frozenset[str]) -> frozenset[str] | None:
@@ -34,8 +36,10 @@ def _exact(tree) -> frozenset[str] | None:
         elif op is sre.BRANCH:
             parts = [_exact(x) for x in arg[1]]
             part = None if None in parts else frozenset().union(*parts)
-        elif op is sre.IN and all(k is sre.LITERAL for k, _ in arg) and len(arg) <= 4:
-            part = frozenset(chr(c).lower() for _, c in arg)
+        elif op is sre.IN and all(k in (sre.LITERAL, sre.RANGE) for k, _ in arg):
+            spans = [(c, c) if k is sre.LITERAL else c for k, c in arg]
+            few = sum(b - a + 1 for a, b in spans) <= MAX_CLASS
+            part = frozenset(chr(c).lower() for a, b in spans for c in range(a, b + 1)) if few else None
         elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[0] == 0 and arg[1] == 1:
             part = _exact(arg[2])
             part = None if part is None else part | {""}
@@ -62,7 +66,11 @@ def _clauses(tree) -> list[frozenset[str]]:
 
     for item in tree:
         op, arg = item
-        if op is sre.AT:
+        if op in (sre.AT, sre.ASSERT_NOT):
+            continue
+        if op is sre.ASSERT:  # what is looked ahead for must be there, but what follows does not come behind it
+            close()
+            clauses += _clauses(arg[1])
             continue
         part = _exact([item])
         if part is not None:
