@@ -98,7 +98,7 @@ e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), reach(n, m) AS (SELECT a, a
 c AS (SELECT repo_name, {_canonical_sql('repo_name')} AS n, nullif(trim(eval_split), '') AS s FROM chunks WHERE repo_name IS NOT NULL)
 SELECT min(repo_name) AS repo_name FROM c LEFT JOIN label USING (n) WHERE n IS NOT NULL GROUP BY coalesce(label, n) HAVING count(DISTINCT s) > 1"""
 
-_P5_SQL = f"""WITH b AS (SELECT DISTINCT chunk_id, trim(eval_split) IN ('eval_test', 'eval_valid') AS is_eval, text, query_text FROM chunks WHERE trim(eval_split) IN ('eval_test', 'eval_valid', 'index_only')),
+_P5_PAIRS = f"""WITH b AS (SELECT DISTINCT chunk_id, trim(eval_split) IN ('eval_test', 'eval_valid') AS is_eval, text, query_text FROM chunks WHERE trim(eval_split) IN ('eval_test', 'eval_valid', 'index_only')),
 t AS (SELECT chunk_id, is_eval, regexp_extract_all(lower(text), '{_TOK}') AS k FROM b WHERE text IS NOT NULL),
 g AS (SELECT DISTINCT chunk_id, is_eval, k[i] || chr(1) || k[i+1] || chr(1) || k[i+2] AS g FROM (SELECT *, unnest(range(1, len(k) - 1)) AS i FROM t WHERE len(k) >= 30)),
 n AS (SELECT chunk_id, count(*) AS n FROM (SELECT DISTINCT chunk_id, g FROM g) GROUP BY chunk_id),
@@ -106,7 +106,13 @@ o AS (SELECT x.chunk_id AS e, y.chunk_id AS t, count(*) AS common FROM g x JOIN
 p AS (SELECT e, t FROM o JOIN n a ON a.chunk_id = e JOIN n z ON z.chunk_id = t WHERE common::DOUBLE / (a.n + z.n - common) >= 0.7),
 q AS (SELECT chunk_id, is_eval, regexp_extract_all(lower(query_text), '[\\p{{L}}\\p{{N}}]+') AS w FROM b),
 r AS (SELECT x.chunk_id AS e, y.chunk_id AS t FROM q x JOIN q y ON x.w = y.w AND x.is_eval AND NOT y.is_eval WHERE len(x.w) >= 8)
-SELECT DISTINCT least(e, t) AS chunk_id_a, greatest(e, t) AS chunk_id_b FROM (SELECT * FROM p UNION SELECT * FROM r) WHERE e <> t"""
+x AS (SELECT DISTINCT e, t FROM (SELECT * FROM p UNION SELECT * FROM r) WHERE e <> t)
+"""
+_P5_SQL = _P5_PAIRS + "SELECT DISTINCT least(e, t) AS chunk_id_a, greatest(e, t) AS chunk_id_b FROM x"
+_P5_REPORT_SQL = _P5_PAIRS.rstrip() + """,
+i AS (SELECT chunk_id, min(eval_split) AS eval_split, min(repo_name) AS repo_name FROM chunks WHERE trim(eval_split) IN ('eval_test', 'eval_valid') GROUP BY chunk_id),
+h AS (SELECT e AS chunk_id, count(*) AS n FROM x GROUP BY e)
+SELECT eval_split, repo_name, count(*) AS chunks, count(n) AS leaked, CAST(coalesce(sum(n), 0) AS BIGINT) AS pairs FROM i LEFT JOIN h USING (chunk_id) GROUP BY ALL"""
 
 _P9_SQL = r"""WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents), i AS (SELECT item_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM heldout_items),
 dg AS (SELECT DISTINCT id, array_to_string(w[k:k+9], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 8)) AS k FROM d WHERE len(w) >= 10)),
@@ -118,5 +124,6 @@ ORACLE: dict[str, str] = {
     "p3_found": f"SELECT DISTINCT chunk_id FROM chunks WHERE len(regexp_extract_all(text, '{_TOK}')) > 512",
     "p4_found": _P4_SQL,
     "p5_found": _P5_SQL,
+    "p5_report": _P5_REPORT_SQL,
     "p9_found": _P9_SQL,
 }

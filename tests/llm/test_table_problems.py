@@ -1,6 +1,7 @@
 """Problems 2, 3, 4 and 5: operators on tables against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -191,31 +192,65 @@ def test_assignment_keeps_entities_and_shares(spark):
 # -- problem 5 -----------------------------------------------------------------------------------------------------
 
 
-def test_overlap_against_brute_force(spark):
-    rng = random.Random(8)
+def _records(seed=8, n=220):
+    rng = random.Random(seed)
     names = [f"v{i}" for i in range(30)]
 
     def text(n):
         return " ".join(rng.choice(names) + rng.choice(["(", ")", " +", "\n", ""]) for _ in range(n))
 
     bases = [text(rng.randint(10, 90)) for _ in range(12)]
+    queries = [None, "too short to count", *[f"Where is the part number {i} kept, and who reads it?" for i in range(4)]]
     rows = []
-    for i in range(220):
+    for i in range(n):
         ws = rng.choice(bases).split(" ")
         for _ in range(rng.choice([0, 0, 1, 2, 4, 8])):
             ws[rng.randrange(len(ws))] = rng.choice(names)
         if rng.random() < 0.2:
             ws = ws + text(rng.randint(1, 20)).split(" ")
-        rows.append((f"{i:04d}", " ".join(ws).upper() if i % 7 == 0 else " ".join(ws), rng.choice(["eval_test", "eval_valid", "index_only", "index_only", "", None])))
-    df = spark.createDataFrame([(*r, None, "r", 1.0) for r in rows] + [(*rows[0], None, "r", 1.0), ("n", None, "eval_test", None, None, 1.0)], "chunk_id string, text string, eval_split string, query_text string, repo_name string, similarity double").repartition(4)
-    want = set()
-    for a, ta, sa in rows:
-        for b, tb, sb in rows:
-            if sa in overlap.EVAL and sb in overlap.TRAIN and min(len(overlap.tokens_of(ta)), len(overlap.tokens_of(tb))) >= 30 and overlap.similarity(ta, tb) >= 0.7:
-                want.add(tuple(sorted((a, b))))
+        rows.append((f"{i:04d}", " ".join(ws).upper() if i % 7 == 0 else " ".join(ws), rng.choice(["eval_test", "eval_valid", "index_only", "index_only", "", None]), rng.choice(queries), rng.choice("rs")))
+    return rows
+
+
+def _overlaps(rows):
+    want = {}
+    for a, ta, sa, qa, _ in rows:
+        for b, tb, sb, qb, _ in rows:
+            if sa in overlap.EVAL and sb in overlap.TRAIN:
+                alike = min(len(overlap.tokens_of(ta)), len(overlap.tokens_of(tb))) >= 30 and overlap.similarity(ta, tb) >= 0.7
+                if alike or qa and qa == qb and len(qa.split()) >= 8:
+                    want[tuple(sorted((a, b)))] = a
+    return want
+
+
+@pytest.mark.parametrize(("hot", "counters"), [(64, None), (2, 1 << 18), (2, 64)])
+def test_overlap_against_brute_force(spark, monkeypatch, hot, counters):
+    """With few counters nearly all of them are shared; with a low limit most entries are hot."""
+    monkeypatch.setattr(overlap, "HOT", hot)
+    if counters:
+        monkeypatch.setattr(overlap, "counters_for", lambda _: counters)
+    rows = _records()
+    df = spark.createDataFrame([(*r, 1.0) for r in rows] + [(*rows[0], 1.0), ("n", None, "eval_test", None, None, 1.0)], "chunk_id string, text string, eval_split string, query_text string, repo_name string, similarity double").repartition(4)
+    want = _overlaps(rows)
     assert len(want) > 100
-    got = {(r.chunk_id_a, r.chunk_id_b) for r in overlap.overlaps(df).collect()}
-    assert got == want
+    assert {(r.chunk_id_a, r.chunk_id_b) for r in overlap.overlaps(df).collect()} == set(want)
+    leaked = Counter(want.values())
+    report = {}
+    for c, _, s, _, repo in rows:
+        if s in overlap.EVAL:
+            a, b, n = report.get((s, repo), (0, 0, 0))
+            report[s, repo] = (a + 1, b + (leaked[c] > 0), n + leaked[c])
+    report["eval_test", None] = (1, 0, 0)
+    assert {(r.eval_split, r.repo_name): (r.chunks, r.leaked, r["pairs"]) for r in overlap.report(df).collect()} == report
+
+
+def test_sketch_follows_the_size_and_is_never_too_low(spark):
+    assert overlap.counters_for(0) == overlap.LEAST_COUNTERS and overlap.counters_for(1 << 40) == overlap.MOST_COUNTERS
+    assert overlap.counters_for(40_000_000) == 1 << 24
+    text = " ".join(f"w{i}" for i in range(60))
+    sketch = overlap.frequency_sketch(spark.createDataFrame([(text,)] * 70 + [("w1 w2",)], "text string").repartition(3), 1 << 18)
+    h = overlap.shingle_hashes(overlap.tokens_of(text))
+    assert (sketch[overlap._slots(h, len(sketch))] >= overlap._level(np.array(70))).all()
 
 
 def test_query_overlap(spark):
