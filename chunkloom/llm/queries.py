@@ -105,7 +105,7 @@ n AS (SELECT chunk_id, count(*) AS n FROM (SELECT DISTINCT chunk_id, g FROM g) G
 o AS (SELECT x.chunk_id AS e, y.chunk_id AS t, count(*) AS common FROM g x JOIN g y ON x.g = y.g AND x.is_eval AND NOT y.is_eval GROUP BY ALL),
 p AS (SELECT e, t FROM o JOIN n a ON a.chunk_id = e JOIN n z ON z.chunk_id = t WHERE common::DOUBLE / (a.n + z.n - common) >= 0.7),
 q AS (SELECT chunk_id, is_eval, regexp_extract_all(lower(query_text), '[\\p{{L}}\\p{{N}}]+') AS w FROM b),
-r AS (SELECT x.chunk_id AS e, y.chunk_id AS t FROM q x JOIN q y ON x.w = y.w AND x.is_eval AND NOT y.is_eval WHERE len(x.w) >= 8)
+r AS (SELECT x.chunk_id AS e, y.chunk_id AS t FROM q x JOIN q y ON x.w = y.w AND x.is_eval AND NOT y.is_eval WHERE len(x.w) >= 8),
 x AS (SELECT DISTINCT e, t FROM (SELECT * FROM p UNION SELECT * FROM r) WHERE e <> t)
 """
 _P5_SQL = _P5_PAIRS + "SELECT DISTINCT least(e, t) AS chunk_id_a, greatest(e, t) AS chunk_id_b FROM x"
