@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -62,6 +63,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def blocks_folded(parts: DataFrame, fold: Callable[[list[bytes]], bytes], last: Callable[[bytes], bytes] = bytes) -> Iterator[tuple[int, bytes]]:
+    """(block, data) of (block int, data binary) rows of many tasks, folded into one for each block, last applied to it.
+
+    It takes two steps, so that no group holds a block of every task of a very large input; the data travel compressed.
+    The blocks reach the driver one after another.
+    """
+
+    def step(end: Callable[[bytes], bytes]) -> Callable[[pa.Table], pa.Table]:
+        def run(t: pa.Table) -> pa.Table:
+            data = end(fold([zlib.decompress(x.as_py()) for x in t.column("data")]))
+            return pa.table({"block": pa.array([t.column("block")[0].as_py()], pa.int32()), "data": pa.array([zlib.compress(data, 1)], pa.binary())})
+
+        return run
+
+    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([zlib.compress(x.as_py(), 1) for x in batch.column(1)], pa.binary())], ["block", "data"])
+
+    schema = "block int, data binary"
+    rows = map_arrow(parts, pack, schema).withColumn("of", F.spark_partition_id() % 128)
+    rows = rows.groupBy("block", "of").applyInArrow(step(bytes), schema).groupBy("block").applyInArrow(step(last), schema)
+    for r in rows.toLocalIterator():
+        yield r.block, zlib.decompress(r.data)
+
+
 def blank(c: Column) -> Column:
     """True for null and for white space only."""
     return F.coalesce(F.length(F.trim(F.regexp_replace(c, r"\s+", " "))) == 0, F.lit(True))

@@ -6,6 +6,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -364,15 +365,71 @@ def test_tiles_do_not_overlap_and_take_the_longest_first():
     assert (tiles, covered, total, longest) == (2, 40, 40, 25)
 
 
+def _tiles_by_hand(doc, item, k):
+    """Longest match first, by trying all places."""
+    used_d, used_t, out = [False] * len(doc), [False] * len(item), []
+    while True:
+        best = None
+        for i in range(len(doc)):
+            for j in range(len(item)):
+                n = 0
+                while i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n] and not used_d[i + n] and not used_t[j + n]:
+                    n += 1
+                if n >= k and (best is None or n > best[2]):
+                    best = (i, j, n)
+        if best is None:
+            return out
+        i, j, n = best
+        out.append(best)
+        used_d[i : i + n], used_t[j : j + n] = [True] * n, [True] * n
+
+
+def test_tilings_agree_with_trying_all_places():
+    rng = random.Random(11)
+    for _ in range(150):
+        doc, item = (np.array([rng.choice([1, 2, 3][: rng.randint(1, 3)]) for _ in range(rng.randint(3, 40))]) for _ in range(2))
+        i, j = np.array([(a, b) for a in range(len(doc) - 2) for b in range(len(item) - 2) if (doc[a : a + 3] == item[b : b + 3]).all()] or np.zeros((0, 2), int)).T
+        want = _tiles_by_hand(doc.tolist(), item.tolist(), 3)
+        assert leaks.tiling(doc, item, i, j, 3) == want
+        assert leaks.tiling_by_length(doc, item, 3) == want
+
+
+@pytest.mark.parametrize(("doc", "item", "want"), [("ha " * 4000, "ha " * 500, (1, 500, 500, 500)), ("ha " * 150_000, "ha ho " * 4000, None), ("ha ho " * 60_000, "ha ho " * 4000, (1, 8000, 8000, 8000))])
+def test_repetitive_texts_are_tiled_fast(doc, item, want):
+    seeds = leaks.Seeds([(1, item)])
+    began = time.perf_counter()
+    got = leaks.leaks_of(doc, seeds)
+    took = time.perf_counter() - began
+    assert [g[1:] for g in got] == ([want] if want else [])
+    assert took < (0.1 if len(doc) < 20_000 else 2)
+
+
 def test_leaks_table(spark):
     passage = " ".join(f"word{i}" for i in range(14))
-    docs = spark.createDataFrame([(1, f"# {passage.upper()}!", 0), (1, f"# {passage.upper()}!", 0), (2, None, 0), (3, "", 0), (4, LONG, 0), (5, " ".join(passage.split()[:9]), 0)], "doc_id bigint, text string, tiles int")
-    items = spark.createDataFrame([(7, passage, "eval_test", "qa"), (8, "short", "eval_test", "qa"), (9, None, "eval_test", "qa")], "item_id bigint, text string, item_split string, task string")
-    for most in (2_000_000, 10):  # in one pass and in parts
-        assert {(r.doc_id, r.item_id) for r in leaks.leaks(docs, items, max_item_words=most).collect()} == {(1, 7)}
-    report = {r.item_id: (r.documents, r.coverage) for r in leaks.leak_report(leaks.leaks(docs, items), items).collect()}
-    assert report == {7: (1, 1.0), 8: (0, 0.0), 9: (0, 0.0)}
-    assert leaks.leaks(docs, items.limit(0)).count() == 0 == leaks.leaks(docs.limit(0), items).count()
+    docs = spark.createDataFrame([(1, f"# {passage.upper()}!", 0), (1, f"# {passage.upper()}!", 0), (2, None, 0), (3, "", 0), (4, LONG, 0), (5, " ".join(passage.split()[:9]), 0), (None, passage, 0)], "doc_id bigint, text string, tiles int")
+    items = spark.createDataFrame([(7, passage, "eval_test", "qa"), (8, "short", "eval_test", "qa"), (9, None, "eval_test", "qa"), (None, passage, "eval_test", "qa"), (10, passage + " " + " ".join(f"more{i}" for i in range(40)), "eval_test", "qa")], "item_id bigint, text string, item_split string, task string")
+    for most in (2_000_000, 10):  # with the tasks and in the cluster
+        assert {(r.doc_id, r.item_id, r.tile_words) for r in leaks.leaks(docs, items, max_item_characters=most).collect()} == {(1, 7, 14), (None, 7, 14), (1, 10, 14), (None, 10, 14)}
+        assert {r.item_id for r in leaks.leaks(docs, items, min_coverage=0.5, max_item_characters=most).collect()} == {7}
+        assert leaks.leaks(docs, items.limit(0), max_item_characters=most).count() == 0 == leaks.leaks(docs.limit(0), items, max_item_characters=most).count()
+    report = {r.item_id: (r.documents, r.mostly, r.coverage) for r in leaks.leak_report(leaks.leaks(docs.where("doc_id is not null"), items), items).collect()}
+    assert report == {7: (1, 1, 1.0), 8: (0, 0, 0.0), 9: (0, 0, 0.0), None: (0, 0, 0.0), 10: (1, 0, round(14 / 54, 6))}
+
+
+def test_large_item_tables_give_the_same_leaks(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(5, 60)))) for i in range(60)]
+    docs = []
+    for i in range(200):
+        ws = words(rng.choice(items)[1])
+        a = rng.randint(0, len(ws) - 1)
+        docs.append((i, " ".join([rng.choice(vocabulary) for _ in range(5)] + ws[a : a + rng.choice([9, 10, 25])] + words(rng.choice(items)[1]))))
+    d, t = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5), spark.createDataFrame(items, "item_id bigint, text string").repartition(3)
+    small = {tuple(r) for r in leaks.leaks(d, t).collect()}
+    assert len(small) > 100
+    for bits in (1 << 20, 1 << 6):  # a full bitmap lets all seeds through
+        assert {tuple(r) for r in leaks.leaks(d, t, max_item_characters=10, max_bits=bits).collect()} == small
 
 
 # -- problem 10 ----------------------------------------------------------------------------------------------------
