@@ -206,25 +206,62 @@ def _files(spark, n=360):
     return spark.createDataFrame(rows, "repo_name string, path string, text string"), rows
 
 
-def test_classifier_on_held_out_repositories(spark):
+def test_classifiers_on_held_out_repositories(spark):
     df, rows = _files(spark)
     # the cut ones, which nothing gives away, are not among the rows that it learns from
     model, figures = handwritten.fit(df.where("not (text like '!%' and length(text) < 300)"))
-    assert figures["held_out"] > 20 and figures["precision"] >= 0.95 and figures["recall"] >= 0.9
-    got = {r.path for r in handwritten.files(df, model).collect()}
-    assert not {p for _, p, t in rows if p.endswith(".py")} & got
-    assert {p for _, p, t in rows if len(t) > 1000} <= got
+    assert figures["held_out"] > 20
+    assert all(figures[f"{c}_{k}"] >= 0.95 for c in ("line", "text", "path") for k in ("recall", "precision"))
+    assert figures["masked_recall"] >= 0.95  # the masked text alone tells these
+    got = {r.path: r.evidence for r in handwritten.files(df, model).collect()}
+    assert not {p for _, p, t in rows if p.endswith(".py")} & set(got)
+    assert {p for _, p, t in rows if len(t) > 1000} <= set(got)
     # the same without what gives minified files away: cut short, they are still told by their n-grams
     short = {p for _, p, t in rows if t.startswith("!") and len(t) < 300}
-    assert len(short & got) > 0.8 * len(short)
+    assert len(short & set(got)) > 0.8 * len(short) and "text" in {got[p] for p in short if p in got}
+
+
+def test_the_verdict_needs_no_giveaway_rule(spark, monkeypatch):
+    """The rules label the sample only: without them the fitted classifiers give the same scores."""
+    df, _ = _files(spark)
+    model, _ = handwritten.fit(df)
+    hand = "import os\n\n\ndef read_all(path):\n    return [x for x in open(path)]\n"
+    texts = [hand, "# Code generated by thing 1.2.3. DO NOT EDIT.\n" + hand, "x = 1;" * 100 + " /* Imported from liba 2.0.1 (rev 0a1b2c3d), no local changes. */ " + "y = 2;" * 100, "// SPDX-License-Identifier: MIT\n" + hand, None, ""]
+    line, text = model.scores(texts)
+    for name in ("path_evidence", "text_evidence", "shape_evidence", "notice_lines", "evidence_of", "masked"):
+        monkeypatch.setattr(handwritten, name, None)
+    again = model.scores(texts)
+    assert np.allclose(line, again[0]) and np.allclose(text, again[1])
+    over = line > model.margins[0]
+    assert over.tolist() == [False, True, True, False, False, False]
+    for path, want in [("a/vendor/lib/x.js", True), ("src/api_pb2.py", True), ("src/vendor_portal/x.py", False), ("src/core/x.py", False), (None, False), ("", False)]:
+        assert (model.path_score(path) > model.margins[2]) is want, path
+
+
+def test_scores_do_not_depend_on_the_block(spark):
+    df, rows = _files(spark)
+    model, _ = handwritten.fit(df)
+    texts = [t for *_, t in rows[:40]] + ["x" * 5000, "", None, "é" * 300, "// Copyright 2020 a\n" * 30]
+    together = np.stack(model.scores(texts))
+    alone = np.stack([np.concatenate(model.scores([t])) for t in texts], axis=1)
+    assert np.allclose(together, alone, atol=1e-6)
+    vectors = [handwritten.text_vector(t).score(model.weights[:, 1]) for t in texts[:40]]
+    assert np.allclose(together[1][:40], vectors, atol=0.2)
+
+
+def test_margins():
+    assert handwritten.choose_margin(np.zeros(0), np.zeros(0)) == 0
+    assert handwritten.choose_margin(np.array([-1.2, -0.4, 0.2, 1.3]), np.array([0, 0, 1, 1])) == pytest.approx(-0.1)
+    assert handwritten.choose_margin(np.array([-2.0, 9.0, 0.1]), np.array([0, 0, 1])) < 0.1
 
 
 def test_files_take_nulls(spark):
-    df = spark.createDataFrame([(None, "a/x.min.js", None, 1.0), ("r", None, "x", 1.0), ("r", "a.py", "", 1.0), ("r", "a.py", None, 2.0)], "repo_name string, path string, text string, score double")
+    df = spark.createDataFrame([(None, "a/x.min.js", None, 1.0), ("r", None, "x", 1.0), ("r", "a.py", "", 1.0), ("r", "a.py", None, 2.0), ("r", "conf/vendor/a.yml", "x", 2.0)], "repo_name string, path string, text string, score double")
     model, figures = handwritten.fit(df)
     got = handwritten.score_rows(df, model).collect()
-    assert len(got) == 3 and {bool(r.evidence) for r in got if r.path == "a/x.min.js"} == {True}
-    assert handwritten.files(df.limit(0), model).count() == 0
+    assert len(got) == 4 and {r.evidence for r in got if r.path == "a/x.min.js"} == {"path"}
+    assert [(r.repo_name, r.path) for r in handwritten.files(df, model).collect()] == [(None, "a/x.min.js")]
+    assert handwritten.files(df.limit(0), model).count() == 0 == handwritten.files(df.limit(0)).count()
 
 
 @pytest.mark.parametrize(("notice", "want"), [
