@@ -138,9 +138,9 @@ def _comment_above(lines: list[str], row: int, language: str) -> str | None:
             continue
         if language == "java" and s.endswith(")") and not s.startswith(("*", "/")):  # an annotation over several lines
             j = i
-            while j >= 0 and i - j < 12 and not lines[j].strip().startswith("@"):
+            while j >= 0 and not lines[j].strip().startswith("@") and not lines[j].strip().endswith((";", "{", "}", "*/")):
                 j -= 1
-            if j >= 0 and lines[j].strip().startswith("@") and i - j < 12 and not any(x.strip().endswith((";", "{", "}")) for x in lines[j : i + 1]):
+            if j >= 0 and lines[j].strip().startswith("@"):
                 i = j - 1
                 continue
         break
@@ -309,14 +309,16 @@ def documented_functions(chunks: DataFrame) -> DataFrame:
     """(chunk_id, fn_name, doc, doc_kind) pairs: own documentation, query texts and what is inherited.
 
     Null and blank texts and window chunks give nothing; a function documented twice keeps the documentation
-    from the code; repeated rows of a chunk give one pair; rows without chunk_id are left out.
+    from the code, then the query text, then what is inherited; repeated rows of a chunk give one pair; rows without chunk_id are left out.
     """
     functions = checkpointed(all_functions(chunks).where("chunk_id is not null").distinct())
     pairs = functions.where("doc_kind in ('code', 'query')").select("chunk_id", "fn_name", "line_no", "doc", "doc_kind").unionByName(resolve_inherited(functions))
-    best = F.min_by(F.struct("doc", "doc_kind"), F.struct("doc_kind", "line_no", "doc"))
+    rank = F.when(F.col("doc_kind") == "code", 0).when(F.col("doc_kind") == "query", 1).otherwise(2)
+    best = F.min_by(F.struct("doc", "doc_kind"), F.struct(rank, "line_no", "doc"))
     return pairs.groupBy("chunk_id", "fn_name").agg(best.alias("b")).select("chunk_id", "fn_name", "b.doc", "b.doc_kind")
 
 
 def found(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, fn_name) of the functions with non-trivial documentation of their own, by code or query text."""
-    return all_functions(chunks).where("doc_kind in ('code', 'query')").select("chunk_id", "fn_name").distinct()
+    """(chunk_id, fn_name) of the pairs whose documentation is the function's own, by code or query text; what a function
+    only inherits is its class's and not counted here."""
+    return documented_functions(chunks).where("doc_kind <> 'inherited'").select("chunk_id", "fn_name")

@@ -7,8 +7,8 @@ these from the graph, and searches it for the visitors.  A shard that would hold
 is split by hash into parts that all of its vectors visit; so it is beyond MAX_CENTROIDS x MAX_SHARD vectors, where
 the visits of a vector begin to grow with the table.  The answers are merged per vector.
 
-Equal vectors are one node.  Only the six least chunk_ids of a group of equal vectors can be among anyone's
-five most similar (equal similarity, smaller id first), so six ids stand for the group without any loss.
+Equal vectors are one node.  Only the k + 1 least chunk_ids of a group of equal vectors can be among anyone's
+k most similar (equal similarity, smaller id first), so these stand for the group without any loss.
 """
 
 from __future__ import annotations
@@ -118,8 +118,8 @@ def _routed(vectors: DataFrame, router: Router) -> DataFrame:
     return spread(vectors.select("embedding", "key")).mapInArrow(run, ROUTED)
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """One shard part: its graph, and the K + 1 nearest nodes for each vector that lives in it or visits."""
+def _answer(table: pa.Table, k: int = K) -> pa.Table:
+    """One shard part: its graph, and the k + 1 nearest nodes for each vector that lives in it or visits."""
     keys = table.column("key").to_numpy()
     home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
     flat = table.column("vector").combine_chunks()
@@ -127,11 +127,11 @@ def _answer(table: pa.Table) -> pa.Table:
     at = np.flatnonzero(home)
     own, first = np.unique(keys[at], return_index=True)
     graph = hnsw.Graph(x[at[first]])
-    answers = [(own, *graph.refine(K + 1, EF_HOME))]
+    answers = [(own, *graph.refine(k + 1, max(EF_HOME, 3 * k)))]
     at = np.flatnonzero(~home)
     if len(at) and len(own):
         other, first = np.unique(keys[at], return_index=True)
-        answers.append((other, *graph.search(x[at[first]], K + 1, EF_VISIT)))
+        answers.append((other, *graph.search(x[at[first]], k + 1, max(EF_VISIT, 3 * k))))
     who, what, sim = [], [], []
     length = []
     for q, nodes, sims in answers:
@@ -145,12 +145,12 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array(np.concatenate(who)), "found": pa.ListArray.from_arrays(offsets, values)})
 
 
-def neighbour_classes(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(key, found): per distinct vector the K + 1 nearest other distinct vectors as (negative similarity, key)."""
+def neighbour_classes(vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(key, found): per distinct vector the k + 1 nearest other distinct vectors as (negative similarity, key)."""
     rows = vectors.count()
     router = fit_router(vectors, rows, shard_rows)
-    answers = _routed(vectors, router).groupBy("task").applyInArrow(_answer, ANSWER)
-    best = F.slice(F.array_distinct(F.array_sort(F.flatten(F.collect_list("found")))), 1, K + 1)
+    answers = _routed(vectors, router).groupBy("task").applyInArrow(lambda t: _answer(t, k), ANSWER)
+    best = F.slice(F.array_distinct(F.array_sort(F.flatten(F.collect_list("found")))), 1, k + 1)
     return answers.groupBy("key").agg(best.alias("found"))
 
 
@@ -166,7 +166,7 @@ def neighbours(vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) ->
     members = checkpointed(members)
     least = members.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("chunk_id"))).where(F.col("r") <= k + 1)
     classes = least.groupBy("key").agg(F.sort_array(F.collect_list("chunk_id")).alias("ids"))
-    found = neighbour_classes(base.select("chunk_id", "embedding", "key"), shard_rows)
+    found = neighbour_classes(base.select("chunk_id", "embedding", "key"), k, shard_rows)
     own = F.array(F.struct(F.lit(-1.0).cast("float").alias("d"), F.col("key").alias("n")))
     edges = found.select("key", F.explode(F.concat(own, "found")).alias("f")).select("key", F.col("f.d").alias("d"), F.col("f.n").alias("n"))
     entry = F.transform("ids", lambda i: F.struct(F.col("d").alias("d"), i.alias("id")))

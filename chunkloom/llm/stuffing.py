@@ -2,11 +2,14 @@
 
 A text is cut into lines and each line is measured: share of its top word, distinct share of its words and
 of its word pairs, link-text ratio, separator density, function words.  Lines that repeat the same opening
-words are measured together.  What counts is the share of a document's words (and link characters) that
-stand in stuffed lines; code, logs, tables, dependency lists and contents lists are recognised by their own
-marks and never count as stuffed.  The function-word limit is calibrated per language over all documents:
-a line lacks function words if its share is under a fixed part of the median share of its language's lines
-of running text.
+words are measured together, so are lines that occur again and again (duplicate-line share) and lines made of
+three-word phrases that the text repeats (n-gram share).  What counts is the share of a document's words (and link
+characters) that stand in stuffed lines; code, logs, tables, dependency lists and contents lists are recognised by
+their own marks and never count as stuffed.
+
+Limits are calibrated per language over all documents, against the medians of its lines of running text: stuffed
+lines must lack function words, listed ones must have more separators, repeated ones a more frequent top word
+or more repeated word pairs.
 """
 
 from __future__ import annotations
@@ -35,8 +38,8 @@ _ALL = frozenset().union(*_SETS.values())
 ZH_FUNCTION = re.compile("[的了在是和会把不为就都被这那与及或而但也将从当则所以于之并吗呢吧のはをがにでとも]")
 _HAN = re.compile("[\u3040-\u9fff]")
 
-LINK = re.compile(r"<a\s[^<>]{0,2000}>[^<\n]{0,2000}</a>|!?\[[^\[\]\n]{0,1000}\]\((?!#)[^()\n]{0,2000}\)|(?:https?|ftp)://[^\s)>\]]+|www\.[^\s)>\]]+", re.I)
-ANCHOR = re.compile(r"\[[^\[\]\n]{0,1000}\]\(#[^()\n]{0,1000}\)")
+LINK = re.compile(r"<a\s[^<>]*+>[^<\n]*+</a>|!?\[[^\[\]\n]*+\]\((?!#)[^()\n]*+\)|(?:https?|ftp)://[^\s)>\]]+|www\.[^\s)>\]]+", re.I)
+ANCHOR = re.compile(r"\[[^\[\]\n]*+\]\(#[^()\n]*+\)")
 #: Lines of logs, code, tables, lists of versions, stack traces, numbered contents.  Nothing in it is tried twice over a long run, so it is linear.
 OTHER = re.compile(
     r"""^\s*+(?:\|.*\||\d{4}-\d\d-\d\d|\[?\d\d:\d\d|[\w.@/-]++\s*+(?:==|>=|~=|<=|\^)\s*v?\d|(?:at|from|File)\s++[\w"./$<].*[(:]"""
@@ -50,12 +53,20 @@ SENTENCE = re.compile(r"[.!?](?:\s|$)|[。！？]")
 
 #: A document is a case if this share of its words is stuffed and at least so many of them are.
 SHARE, LEAST_WORDS = 0.5, 12
-#: A line lacks function words under this part of its language's median share.
-LACK = 0.8
-#: Median share used for a language without running text in the corpus, or whose texts have no known function words.
-DEFAULT_MEDIAN = 0.3
-
-COUNTS = ["words", "repeated", "listed", "linked", "opened", "prose_words", "prose_function", "stuffed_function"]
+#: A line lacks function words under this part of its language's median share; listed and repeated lines have this many
+#: times the separators and the top word's (or repeated pairs') share of its running text.
+LACK, RISE = 0.8, 1.5
+#: Median shares (function words, separators of characters, top word) used for a language without running text in the corpus; the first
+#: one also where its texts have no known function words.
+DEFAULT_MEDIAN, DEFAULT_SEPARATORS, DEFAULT_TOP = 0.3, 0.012, 0.08
+#: No language's limits are higher than these (shares of characters and of words).
+MOST_SEPARATORS, MOST_TOP = 0.1, 0.5
+#: A line that occurs so often is a duplicate, a phrase of three words that does so is repeated.
+OFTEN = 4
+
+#: Kinds of stuffed lines; all but the links are made of words.
+KINDS = ["repeated", "listed", "linked", "opened", "duplicated", "phrased"]
+COUNTS = ["words", *KINDS, "prose_words", "prose_function", "prose_separators", "prose_characters", "prose_top", "stuffed_function", "listed_separators", "listed_characters", "repeated_top"]
 
 
 def function_words(ws: list[str]) -> int:
@@ -103,14 +114,28 @@ def line_kind(line: str, ws: list[str]) -> str:
     return "prose"
 
 
+def _top(ws: list[str]) -> int:
+    """Occurrences of the most frequent word that is no function word, or repeats of word pairs where they are more."""
+    top = Counter(w for w in ws if w not in _ALL).most_common(1)
+    return max(top[0][1] if top else 0, len(ws) - 1 - len(set(zip(ws, ws[1:]))))
+
+
+def _phrases(lines: list[list[str]]) -> frozenset[tuple[str, ...]]:
+    """The phrases of three words that some lines repeat often; most texts have so many distinct words that none is sought."""
+    n = sum(map(len, lines))
+    if n < 3 * OFTEN or len({w for ws in lines for w in ws}) > 0.6 * n:
+        return frozenset()
+    return frozenset(k for k, c in Counter(x for ws in lines for x in zip(ws, ws[1:], ws[2:])).items() if c >= OFTEN)
+
+
 def measure(text: str | None) -> dict | None:
     """Counts of words by kind of line; None for blank texts."""
     if not text or not text.strip():
         return None
     ws_all: list[str] = []
     count: Counter[str] = Counter()
-    openings: list[tuple[tuple[str, ...], int, int]] = []
-    prose_words = prose_function = stuffed_function = 0
+    short: list[tuple[list[str], int]] = []
+    prose: list[tuple[str, list[str], int]] = []
     fenced = False
     for line in text.splitlines():
         if line.lstrip().startswith("```"):
@@ -124,36 +149,52 @@ def measure(text: str | None) -> dict | None:
         if kind == "prose":
             fn = function_words(ws)
             if 2 <= len(ws) <= 9 and not SENTENCE.search(line) and not re.match(r"\s*(?:[-*+]|\d+[.)]|#+)\s", line):
-                openings.append((tuple(ws[:2]), len(ws), fn))
-                continue
-            prose_words += len(ws)
-            prose_function += fn
-        elif kind in ("listed", "repeated"):
-            stuffed_function += function_words(ws)
+                short.append((ws, fn))
+            else:
+                prose.append((line, ws, fn))
+            continue
         count[kind] += len(ws)
+        if kind in ("listed", "repeated"):
+            count["stuffed_function"] += function_words(ws)
+            if kind == "repeated":
+                count["repeated_top"] += _top(ws)
+            else:
+                count["listed_separators"] += len(SEPARATOR.findall(line))
+                count["listed_characters"] += len(line)
     if not ws_all:
         return None
-    starts = Counter(o[0] for o in openings)
-    for start, n, fn in openings:  # many short lines with one opening are one phrase, varied
-        if starts[start] >= 6 and starts[start] >= 0.5 * len(openings):
-            count["opened"] += n
-            stuffed_function += fn
+    starts = Counter(tuple(ws[:2]) for ws, _ in short)
+    for ws, fn in short:  # many short lines with one opening are one phrase, varied
+        n = starts[tuple(ws[:2])]
+        if n >= 6 and n >= 0.5 * len(short):
+            count["opened"] += len(ws)
+            count["stuffed_function"] += fn
         else:
-            count["prose"] += n
-            prose_words += n
-            prose_function += fn
-    language = language_of(ws_all, text)
-    return {
-        "language": language,
-        "words": sum(count.values()),
-        "repeated": count["repeated"],
-        "listed": count["listed"],
-        "linked": count["linked"],
-        "opened": count["opened"],
-        "prose_words": prose_words,
-        "prose_function": prose_function,
-        "stuffed_function": stuffed_function,
-    }
+            prose.append(("", ws, fn))
+    again = Counter(tuple(ws) for _, ws, _ in prose) if len(prose) >= OFTEN else {}
+    phrases = _phrases([ws for _, ws, _ in prose])
+    for line, ws, fn in prose:
+        kind = "prose"
+        few = fn < 0.25 * len(ws)  # sentences may occur again, too
+        if few and len(ws) >= 2 and again.get(tuple(ws), 0) >= OFTEN:
+            kind = "duplicated"
+        elif few and phrases and len(ws) >= 4:
+            held: set[int] = set()
+            for k, x in enumerate(zip(ws, ws[1:], ws[2:])):
+                if x in phrases:
+                    held |= {k, k + 1, k + 2}
+            kind = "phrased" if len(held) >= 0.5 * len(ws) else kind
+        count[kind] += len(ws)
+        if kind != "prose":
+            count["stuffed_function"] += fn
+            continue
+        count["prose_words"] += len(ws)
+        count["prose_function"] += fn
+        if len(line) >= 20:
+            count["prose_separators"] += len(SEPARATOR.findall(line))
+            count["prose_characters"] += len(line)
+            count["prose_top"] += _top(ws)
+    return {"language": language_of(ws_all, text), "words": sum(count[k] for k in (*KINDS, "prose", "other")), **{k: count[k] for k in COUNTS[1:]}}
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -172,16 +213,20 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def calibration(measured: DataFrame) -> DataFrame:
-    """Per language the median share of function words in running text, over all documents that have some.
+    """Per language the median shares of function words, separators and top words in running text, over all documents
+    that have some.
 
-    A language whose median is 0 has none: "other" is what texts without any known function word are called.
+    A language whose median of function words is 0 has none: "other" is what texts without any known one are called.
     """
     prose = measured.where("prose_words >= 20 and language <> 'other'")
-    share = prose.groupBy("language").agg(F.percentile_approx(F.col("prose_function") / F.col("prose_words"), 0.5, 1000).alias("median"))
-    return share.where("median > 0")
+
+    def median(name: str, of: str, to: str = "prose_words"):
+        return F.percentile_approx(F.col(of) / F.nullif(to, F.lit(0)), 0.5, 1000).alias(name)
+
+    return prose.groupBy("language").agg(median("median", "prose_function"), median("separators", "prose_separators", "prose_characters"), median("top", "prose_top")).where("median > 0")
 
 
-def stuffed(docs: DataFrame, share: float = SHARE, least_words: int = LEAST_WORDS, lack: float = LACK) -> DataFrame:
+def stuffed(docs: DataFrame, share: float = SHARE, least_words: int = LEAST_WORDS, lack: float = LACK, rise: float = RISE) -> DataFrame:
     """(doc_id, share, kind) of the documents that mostly consist of stuffed lines.
 
     Null, empty and blank texts are no cases, nor are texts with fewer than least_words stuffed words; a
@@ -189,12 +234,15 @@ def stuffed(docs: DataFrame, share: float = SHARE, least_words: int = LEAST_WORD
     and the verdict need them; there are at most eight languages, so the medians are a small join side.
     """
     measured = checkpointed(features(docs))
-    in_lines = F.col("repeated") + F.col("listed") + F.col("linked") + F.col("opened")
-    worded = F.col("repeated") + F.col("listed") + F.col("opened")
-    kinds = F.array(*[F.struct(F.col(k).alias("n"), F.lit(k).alias("k")) for k in ("repeated", "listed", "linked", "opened")])
+    told = measured.join(F.broadcast(calibration(measured)), "language", "left")
+    listed = F.col("listed_separators") >= F.least(F.lit(MOST_SEPARATORS), rise * F.coalesce("separators", F.lit(DEFAULT_SEPARATORS))) * F.col("listed_characters")
+    repeated = F.col("repeated_top") >= F.least(F.lit(MOST_TOP), rise * F.coalesce("top", F.lit(DEFAULT_TOP))) * F.col("repeated")
+    told = told.withColumns({"listed": F.when(listed, F.col("listed")).otherwise(0), "repeated": F.when(repeated, F.col("repeated")).otherwise(0)})
+    in_lines = sum((F.col(k) for k in KINDS), F.lit(0))
+    worded = in_lines - F.col("linked")
+    kinds = F.array(*[F.struct(F.col(k).alias("n"), F.lit(k).alias("k")) for k in KINDS])
     return (
-        measured.where((in_lines >= least_words) & (in_lines >= share * F.col("words")))
-        .join(F.broadcast(calibration(measured)), "language", "left")
+        told.where((in_lines >= least_words) & (in_lines >= share * F.col("words")))
         .where((worded == 0) | (F.col("stuffed_function") < lack * F.coalesce("median", F.lit(DEFAULT_MEDIAN)) * worded))
         .select("doc_id", F.round(in_lines / F.col("words"), 6).alias("share"), F.array_max(kinds)["k"].alias("kind"))
         .distinct()

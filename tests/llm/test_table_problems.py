@@ -71,6 +71,18 @@ def test_neighbours_against_brute_force(spark, shard_rows):
     assert all(a < b for a, b in got)
 
 
+@pytest.mark.parametrize("k", [1, 12])
+def test_neighbours_of_any_number(spark, k):
+    x = _clustered(700, 5).astype(np.float32).astype(float)
+    x[600:640] = x[3]
+    ids = [f"{i:04d}" for i in range(len(x))]
+    got = {r.chunk_id: [n.id for n in r.neighbours] for r in neighbours.neighbours(_vectors(spark, ids, x), k).collect()}
+    assert all(len(v) == k for v in got.values())
+    want = _exact(ids, x, k)
+    found = {tuple(sorted((a, b))) for a, bs in got.items() for b in bs}
+    assert len(found & want) / len(want) > 0.93 and len(found & want) / len(found) > 0.93
+
+
 def test_neighbours_edges(spark):
     zero, e = [0.0] * 64, [[float(i == j) for j in range(64)] for i in range(3)]
     extra = [("z", zero, "m"), ("n", None, "m"), ("s", [1.0] * 32, "m"), ("h", [None, *e[0][1:]], "m"), (None, e[0], "m"), ("a", e[0], "m"), ("b", e[0], "m"), ("a", e[0], "m")]

@@ -523,6 +523,29 @@ def test_stuffing_beside_ordinary_texts_without_known_function_words(spark):
     assert {r.doc_id for r in stuffing.stuffed(df).collect()} == {*range(len(STUFFED)), 50, 51}
 
 
+def test_duplicate_lines_and_phrases():
+    def kinds(text):
+        m = stuffing.measure(text)
+        return {k for k in stuffing.KINDS if m[k] > 0.5 * m["words"]}
+
+    assert kinds("\n".join(["Gratis widget toolkit license download.", f"{PROSE}"] * 1 + ["Gratis widget toolkit license download."] * 30)) == {"duplicated"}
+    rng = random.Random(2)
+    phrase = "\n".join(f"{rng.choice(['red', 'big', 'new'])} {i}x cheap widget toolkit download {rng.choice(['now', 'fast', 'gratis'])} {i}y." for i in range(30))
+    assert kinds(phrase) == {"phrased"}
+    assert not kinds(PROSE + "\n" + "\n".join(f"The parser number {i} keeps its token, and its stage is the {i}th one of all." for i in range(2)))
+
+
+def test_stuffing_needs_more_than_the_languages_running_text(spark):
+    """Listed lines count only with more separators than the running text of their language has."""
+    many = "widget, gadget and tool, or part, then item, and piece, so thing, the end of it. "
+    rows = [(i, many * 6) for i in range(30)] + [(99, "; ".join(f"the-thing{i} gadget{i}x" for i in range(40)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    medians = stuffing.calibration(stuffing.features(df)).first()
+    assert 0.06 < medians.separators < 0.1 and 0 < medians.top < 0.9
+    assert {r.doc_id for r in stuffing.stuffed(df, rise=0.4).collect()} == {99}
+    assert stuffing.stuffed(df).count() == 0
+
+
 def test_language_is_told_by_function_words():
     for want, text in [("en", PROSE), ("fr", "le dossier est dans la table et il passe par une file"), ("de", "der Ordner wird von dem Knoten nicht gelesen"), ("zh", "当模块为空时接口会把函数写回"), ("other", "zz qq")]:
         assert stuffing.language_of(words(text), text) == want
