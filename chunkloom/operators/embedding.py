@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkloom.schema import canonical
@@ -195,6 +195,16 @@ def embed(df: DataFrame, make: Callable[[], Embedder], text_col: str = "text", o
     return df.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col)).mapInArrow(run, schema)
 
 
+def attach_vectors(rows: DataFrame, vectors: DataFrame, key: str = "chunk_id", vector: str = "embedding") -> DataFrame:
+    """Rows with their vectors, one to one: a row without a vector, a vector without a row and keys that repeat on
+    either side raise an error when the result is computed.  Null keys are errors too."""
+    told = rows.withColumn("_row", F.lit(1)).join(vectors.select(F.col(key).alias("_key"), F.col(vector).alias("_vector")), F.col(key) == F.col("_key"), "full")
+    n = F.count("*").over(Window.partitionBy(key))
+    wrong = F.col("_row").isNull() | F.col("_vector").isNull() | (n != 1)
+    checked = told.withColumn("_ok", F.when(wrong, F.raise_error(F.concat(F.lit("no vector or row of its own: "), F.coalesce(F.col(key), F.col("_key"), F.lit("null"))))).otherwise(F.lit(True)))
+    return checked.where(F.coalesce("_ok", F.lit(True))).select(*[F.col(f"`{c}`") for c in rows.columns], F.col("_vector").alias(vector))
+
+
 def with_pointers(df: DataFrame, *, run: str, model_id: str, revision: str, dim: int, pooling: str, normalized: bool, dtype: str, inline: bool = False) -> DataFrame:
     """Sets the eight embedding columns on rows with shard_id and row_in_shard; the pointer names the published file."""
     file = F.format_string("vectors/lang=%s/%s-part-%05d.npy", F.col("language"), F.lit(run), F.col("shard_id"))

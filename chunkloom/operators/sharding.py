@@ -55,8 +55,8 @@ def number_rows(df: DataFrame, group: str, order: list[str], name: str = "row_no
     counts = placed.groupBy("_part", group).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.withColumn("_before", before).select("_part", F.col(f"`{group}`").alias("_group"), "_first", "_before")
-    # a row per partition and group: as many as there are tasks
-    joined = placed.join(F.broadcast(offsets), (placed["_part"] == offsets["_part"]) & placed[f"`{group}`"].eqNullSafe(offsets["_group"]))
+    # a row per partition and group; how it is joined is left to the planner
+    joined = placed.join(offsets, (placed["_part"] == offsets["_part"]) & placed[f"`{group}`"].eqNullSafe(offsets["_group"]))
     return joined.select(*[placed[f"`{c}`"] for c in df.columns], (F.col("_at") - F.col("_first") + F.col("_before")).alias(name))
 
 
@@ -72,7 +72,7 @@ def assign_shards(df: DataFrame, target: int, languages: list[str], order: list[
     sized = numbered.withColumns({"_slice": F.floor(F.col("row_no") / target).cast("int"), "row_in_shard": (F.col("row_no") % target).cast("int")})
     slices = sized.groupBy("language", "_slice").agg(F.count("*").alias("_n"))
     ids = slices.withColumn("shard_id", (F.row_number().over(Window.orderBy(language_position(languages), "language", "_slice")) - 1).cast("int"))
-    return sized.join(F.broadcast(ids.select("language", "_slice", "shard_id")), ["language", "_slice"]).drop("_slice", "row_no")
+    return sized.join(ids.select(F.col("language").alias("_language"), F.col("_slice").alias("_at"), "shard_id"), F.col("language").eqNullSafe(F.col("_language")) & (F.col("_slice") == F.col("_at"))).drop("_slice", "_at", "_language", "row_no")
 
 
 def manifest(assigned: DataFrame, root: str = "") -> DataFrame:
@@ -112,6 +112,11 @@ def reconcile(rows: DataFrame, shards: DataFrame) -> DataFrame:
     return expected.join(got, "shard_id", "full").select("shard_id", F.coalesce("expected", F.lit(0)).alias("expected"), F.coalesce("got", F.lit(0)).alias("got")).where("expected <> got")
 
 
+def totals(shards: DataFrame) -> DataFrame:
+    """One row: languages, chunks and shards of a manifest."""
+    return shards.agg(F.countDistinct("language").alias("languages"), F.coalesce(F.sum("approx_chunks"), F.lit(0)).cast("bigint").alias("chunks"), F.count("*").alias("shards"))
+
+
 def cap_per_group(df: DataFrame, group: str, n: int, order: list[str]) -> DataFrame:
     """The first n rows of each group by the order columns; 0 means all.  Each task keeps n per group before the shuffle."""
     if n <= 0:

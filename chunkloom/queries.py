@@ -15,7 +15,7 @@ from chunkloom.plans import evaluate, pipeline, publish
 from chunkloom.schema import CHUNK_COLUMNS
 from chunkloom.sources import files, npy
 from chunkloom.sources.files import table
-from chunkloom.sources.fs import glob, shared_folder
+from chunkloom.sources.fs import glob, shared_folder, write_bytes
 from chunkloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +80,7 @@ def corpus_cap_per_lang(spark, d):
 
 @query("SELECT language, coalesce(license,'') AS license, count(*) AS n_chunks, count(DISTINCT chunk_id) AS n_ids FROM chunks WHERE language = 'python' GROUP BY ALL")
 def language_scan(spark, d):
-    rows = chunks_of(spark, d).where("language = 'python'").select("language", text.blank_to(F.col("license")).alias("license"), "chunk_id")
+    rows = files.read_chunks(spark, f"{d}/chunks.parquet", ["python"]).select("language", text.blank_to(F.col("license")).alias("license"), "chunk_id")
     return rows.groupBy("language", "license").agg(F.count("*").alias("n_chunks"), F.countDistinct("chunk_id").alias("n_ids"))
 
 
@@ -185,12 +185,43 @@ def stripped_fallback(spark, d):
     return table(spark, d, "documents").select("doc_id", text.stripped_or_original(F.lit(" \n"), F.col("text")).alias("body"))
 
 
-@query()
+_TRIPLE = r'''(?:"""(?s:(.*?))"""|\'\'\'(?s:(.*?))\'\'\')'''
+
+
+def _sql(pattern: str) -> str:
+    """A pattern within an SQL string."""
+    return pattern.replace("\\'", "'").replace("'", "''")
+
+
+_DEFINED = _sql(r"(?:def|class)\s+\w+\s*\([^)]*\)\s*(?:->[^:]+)?:\s*\n\s*[rub]?" + _TRIPLE)
+_BLOCK = r"/\*\*(?s:(.*?))\*/"
+
+
+def _extract_sql(c: str, language: str) -> str:
+    own = f"regexp_extract({c}, '{_DEFINED}', 1) || regexp_extract({c}, '{_DEFINED}', 2)"
+    return f"coalesce(CASE WHEN {language} = 'python' AND regexp_matches({c}, '{_DEFINED}') THEN {_clean_sql(own)} ELSE {_clean_sql(f"regexp_extract({c}, '{_BLOCK}', 1)")} END, '')"
+
+
+def _strip_sql(c: str, language: str) -> str:
+    """The leading documentation taken off, as the operator does."""
+    header, quoted = r"^(\s*(?:async\s+)?(?:def|class)\b[^\n]*:\s*\n)", r'''(?:"""(?s:.*?)"""|\'\'\'(?s:.*?)\'\'\')'''
+    inner, module = _sql(header + r"[ \t]+[rRuUbB]{0,2}" + quoted), _sql(r"^(\s*[rRuUbB]{0,2})" + quoted)
+    python = f"CASE WHEN regexp_matches({c}, '{inner}') THEN regexp_replace({c}, '{inner}', '\\1') WHEN regexp_matches({c}, '{module}') THEN regexp_replace({c}, '{module}', '\\1') ELSE {c} END"
+    block = r"^\s*/\*(?s:.*?)\*/[ \t]*\n?"
+
+    def lines(mark: str) -> str:
+        return f"CASE WHEN regexp_matches({c}, '^\\s*{mark}') THEN regexp_replace({c}, '^(?:[^\\S\\n]*(?:{mark}[^\\n]*)?\\n)*(?:[^\\S\\n]*(?:{mark}[^\\n]*)?$)?', '') ELSE {c} END"
+
+    braces = f"CASE WHEN regexp_matches({c}, '{block}') THEN regexp_replace({c}, '{block}', '') ELSE {lines('//')} END"
+    return f"CASE {language} WHEN 'python' THEN {python} WHEN 'ruby' THEN {lines('#')} WHEN 'java' THEN {braces} WHEN 'javascript' THEN {braces} WHEN 'php' THEN {braces} WHEN 'go' THEN {braces} ELSE {c} END"
+
+
+@query(f"SELECT DISTINCT chunk_id, {_extract_sql('text', 'lower(language)')} AS query_text FROM chunks")
 def docstring_extract(spark, d):
     return chunks_of(spark, d).select("chunk_id", docs.extract_docstring("text", F.lower("language")).alias("query_text")).distinct()
 
 
-@query()
+@query(f"SELECT DISTINCT chunk_id, {_strip_sql('text', 'lower(language)')} AS body FROM chunks")
 def strip_leading_doc(spark, d):
     return chunks_of(spark, d).select("chunk_id", docs.strip_leading_doc("text", F.lower("language")).alias("body")).distinct()
 
@@ -211,10 +242,9 @@ def repo_bucket_split(spark, d):
     SELECT repo_name, CASE WHEN repo_name IN (SELECT repo_name FROM l) THEN 'eval_test' WHEN {_BUCKET} < 50 THEN 'eval_valid' ELSE 'index_only' END AS eval_split, count(*) AS n FROM chunks WHERE repo_name IS NOT NULL GROUP BY repo_name"""
 )
 def repo_split_with_list(spark, d):
-    listed = table(spark, d, "repo_links").where("relation = 'mentions'").select(F.col("src_repo").alias("repo_name")).distinct().withColumn("listed", F.lit(True))
-    rows = chunks_of(spark, d).where("repo_name is not null").groupBy("repo_name").agg(F.count("*").alias("n")).join(listed, "repo_name", "left")
-    slot = keys.bucket(F.col("repo_name"), SEED, hash_fn="md5")
-    return rows.select("repo_name", keys.eval_split(slot, F.coalesce("listed", F.lit(False)), F.lit(False)).alias("eval_split"), "n")
+    listed = table(spark, d, "repo_links").where("relation = 'mentions'").select(F.col("src_repo").alias("repo_name"))
+    rows = chunks_of(spark, d).where("repo_name is not null").select("chunk_id", "repo_name", "language", "text", "query_text")
+    return pipeline.assign_pairs(rows, listed, SEED, "md5").groupBy("repo_name", "eval_split").agg(F.count("*").alias("n"))
 
 
 @query("SELECT repo_name, count(DISTINCT nullif(eval_split,'')) AS n_splits, count(*) AS n FROM chunks WHERE repo_name IS NOT NULL GROUP BY repo_name HAVING count(DISTINCT nullif(eval_split,'')) > 1")
@@ -273,9 +303,38 @@ def shard_state(spark, d):
     return sharding.with_status(table(spark, d, "shard_manifest"), table(spark, d, "shard_status")).select("shard_id", "language", "status")
 
 
-@query("SELECT shard_id, language, CAST(unnest(input_files) AS VARCHAR) AS input_file FROM shard_manifest")
+@query("SELECT shard_id, language, approx_chunks, out_npy, status, CAST(unnest(input_files) AS VARCHAR) AS input_file FROM shard_manifest")
 def manifest_files(spark, d):
-    return table(spark, d, "shard_manifest").select("shard_id", "language", F.explode("input_files").alias("input_file"))
+    """The manifest written as JSON lines and read back."""
+    folder = f"{shared_folder(spark, 'manifest')}/manifest"
+    files.write_manifest(table(spark, d, "shard_manifest"), folder)
+    return files.read_manifest(spark, folder).select("shard_id", "language", "approx_chunks", "out_npy", "status", F.explode("input_files").alias("input_file"))
+
+
+@query("SELECT shard_id, language, approx_chunks FROM shard_manifest WHERE shard_id = 3")
+def manifest_shard(spark, d):
+    return files.get_shard(table(spark, d, "shard_manifest"), 3).select("shard_id", "language", "approx_chunks")
+
+
+@query("SELECT count(DISTINCT language) AS languages, CAST(sum(approx_chunks) AS BIGINT) AS chunks, count(*) AS shards FROM shard_manifest")
+def manifest_totals(spark, d):
+    return sharding.totals(table(spark, d, "shard_manifest"))
+
+
+@query("SELECT DISTINCT chunk_id FROM chunk_vectors WHERE trim(chunk_id) <> ''")
+def committed_log(spark, d):
+    """A log of committed ids, one a line, and one whose only line is torn: what is whole is read back."""
+    folder = shared_folder(spark, "log")
+    table(spark, d, "chunk_vectors").select("chunk_id").where("chunk_id is not null").write.text(f"{folder}/log")
+    write_bytes(spark, f"{folder}/log/torn.txt", b"not-whole")
+    return files.read_committed(spark, f"{folder}/log")
+
+
+@query(f"SELECT DISTINCT {_norm_sql('src_repo')} AS repo_name FROM repo_links WHERE {_norm_sql('src_repo')} <> ''")
+def eval_repo_list(spark, d):
+    folder = f"{shared_folder(spark, 'list')}/list"
+    table(spark, d, "repo_links").select(F.concat(F.lit("  "), F.coalesce("src_repo", F.lit("")))).write.text(folder)
+    return files.read_names(spark, folder)
 
 
 @query("SELECT DISTINCT chunk_id, language, n_tokens FROM chunks WHERE chunk_id NOT IN (SELECT chunk_id FROM chunk_vectors)")
@@ -284,9 +343,13 @@ def resume_remaining(spark, d):
     return sharding.remaining_rows(rows, table(spark, d, "chunk_vectors"))
 
 
-@query("SELECT vector_shard, count(*) AS vector_rows, count(DISTINCT chunk_id) AS chunks, CAST(max(row_in_shard) AS INT) AS last_row FROM chunk_vectors GROUP BY vector_shard")
+@query(
+    """WITH g AS (SELECT CAST(regexp_extract(vector_shard, 'shard-([0-9]+)', 1) AS INT) AS shard_id, count(*) AS got FROM chunk_vectors GROUP BY 1)
+    SELECT coalesce(m.shard_id, g.shard_id) AS shard_id, CAST(coalesce(approx_chunks, 0) AS BIGINT) AS expected, coalesce(got, 0) AS got FROM shard_manifest m FULL JOIN g ON m.shard_id = g.shard_id WHERE coalesce(approx_chunks, 0) <> coalesce(got, 0)"""
+)
 def shard_reconciliation(spark, d):
-    return table(spark, d, "chunk_vectors").groupBy("vector_shard").agg(F.count("*").alias("vector_rows"), F.countDistinct("chunk_id").alias("chunks"), F.max("row_in_shard").alias("last_row"))
+    rows = table(spark, d, "chunk_vectors").select(F.regexp_extract("vector_shard", "shard-([0-9]+)", 1).cast("int").alias("shard_id"))
+    return sharding.reconcile(rows, table(spark, d, "shard_manifest"))
 
 
 @query("SELECT run, count(*) AS n, count(n_tokens) AS with_tokens, count(score) AS with_score FROM (SELECT 'chunks' AS run, chunk_id, n_tokens, NULL AS score FROM chunks UNION ALL SELECT 'qrels', corpus_id, NULL, score FROM qrels) GROUP BY run")
@@ -370,10 +433,15 @@ def train_sample(spark, d):
     return sharding.sample(table(spark, d, "embeddings").select("vec_id", "label"), 200, "vec_id", SEED)
 
 
-@query("SELECT c.language, count(*) AS n, count(v.chunk_id) AS with_vector FROM (SELECT DISTINCT chunk_id, language FROM chunks) c LEFT JOIN (SELECT DISTINCT chunk_id FROM chunk_vectors WHERE embedding IS NOT NULL) v USING (chunk_id) GROUP BY c.language")
+@query(
+    f"""WITH v AS (SELECT chunk_id, arg_min(embedding, {{'a': vector_shard, 'b': row_in_shard}}) AS e FROM chunk_vectors WHERE len(embedding) = 64 GROUP BY chunk_id)
+    SELECT chunk_id, c.language, round(list_sum(list_transform(e, lambda x: x::DOUBLE)), 4) AS total FROM {_ONCE} c JOIN v USING (chunk_id)"""
+)
 def vector_row_join(spark, d):
-    v = table(spark, d, "chunk_vectors").where("embedding is not null").select("chunk_id").distinct().withColumn("has", F.lit(1))
-    return chunks_of(spark, d).select("chunk_id", "language").distinct().join(v, "chunk_id", "left").groupBy("language").agg(F.count("*").alias("n"), F.count("has").alias("with_vector"))
+    """Each chunk with its vector, one to one: repeated rows of either side are reduced first, the join checks it."""
+    v = sharding.keep_first(table(spark, d, "chunk_vectors").where("size(embedding) = 64").select("chunk_id", "vector_shard", "row_in_shard", "embedding"), ["chunk_id"], ["vector_shard", "row_in_shard"])
+    rows = sharding.keep_first(chunks_of(spark, d).select("chunk_id", "language", "corpus_snapshot"), ["chunk_id"], ["corpus_snapshot"]).join(v.select("chunk_id"), "chunk_id", "left_semi")
+    return embedding.attach_vectors(rows, v.select("chunk_id", "embedding")).select("chunk_id", "language", F.round(F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double")), 4).alias("total"))
 
 
 def _index_query(spark, d, parts: int = 0, rotate: bool = False) -> DataFrame:
@@ -384,6 +452,26 @@ def _index_query(spark, d, parts: int = 0, rotate: bool = False) -> DataFrame:
     return search.search_index(q, search.add_to_index(c, ix), ix, 10, -(-4 * lists // 5), rerank=8 if parts else 1, rerank_share=0.25 if parts else 0.0)
 
 
+def _recall(spark, d, found: DataFrame) -> DataFrame:
+    """One row: queries, and whether the found neighbours hold at least nine tenths of the exact ones."""
+    exact = search.exact_topk(*_vector_sides(spark, d), 10).select("qid", "cid")
+    n = exact.join(found.select("qid", "cid").withColumn("hit", F.lit(1)), ["qid", "cid"], "left").agg(F.countDistinct("qid").alias("queries"), F.count("*").alias("wanted"), F.count("hit").alias("hits"))
+    return n.select("queries", "wanted", (F.col("hits") >= 0.9 * F.col("wanted")).alias("recall_reached"))
+
+
+_RECALL_SQL = "SELECT count(*) AS queries, count(*) * least(10, (SELECT count(*) FROM embeddings)) AS wanted, true AS recall_reached FROM embeddings WHERE vec_id % 100 = 0"
+
+
+@query(_RECALL_SQL)
+def ivf_recall(spark, d):
+    return _recall(spark, d, ivf_search(spark, d))
+
+
+@query(_RECALL_SQL)
+def pq_recall(spark, d):
+    return _recall(spark, d, pq_search(spark, d))
+
+
 @query()
 def ivf_search(spark, d):
     return _index_query(spark, d)
@@ -398,46 +486,85 @@ def pq_search(spark, d):
 
 _TF = partial(embedding.HashedTf, embed_dim=256, normalize=False)
 _DIM_SQL = 256
-_HITS = f"""WITH c AS {_ONCE},
-ct AS (SELECT chunk_id, ('0x'||substr(md5(w),1,8))::UBIGINT % {_DIM_SQL} AS b, count(*) AS n FROM (SELECT chunk_id, unnest(regexp_extract_all(lower(coalesce(nullif(text,''),' ')), '[a-z0-9_]+')) AS w FROM c) GROUP BY ALL),
-qt AS (SELECT chunk_id, ('0x'||substr(md5(w),1,8))::UBIGINT % {_DIM_SQL} AS b, count(*) AS n FROM (SELECT chunk_id, unnest(regexp_extract_all(lower(query_text), '[a-z0-9_]+')) AS w FROM c WHERE eval_split='eval_test' AND query_text <> '') GROUP BY ALL),
+
+
+def _hits_sql(split: str) -> str:
+    return f"""WITH c AS {_ONCE},
+body AS (SELECT chunk_id, text, {_strip_sql('text', "lower(coalesce(language, ''))")} AS stripped FROM c),
+ct AS (SELECT chunk_id, ('0x'||substr(md5(w),1,8))::UBIGINT % {_DIM_SQL} AS b, count(*) AS n FROM (SELECT chunk_id, unnest(regexp_extract_all(lower(CASE WHEN {_norm_sql('stripped')} <> '' THEN stripped ELSE coalesce(text, '') END), '[a-z0-9_]+')) AS w FROM body) GROUP BY ALL),
+qt AS (SELECT chunk_id, ('0x'||substr(md5(w),1,8))::UBIGINT % {_DIM_SQL} AS b, count(*) AS n FROM (SELECT chunk_id, unnest(regexp_extract_all(lower(query_text), '[a-z0-9_]+')) AS w FROM c WHERE eval_split='{split}' AND query_text <> '') GROUP BY ALL),
 cn AS (SELECT chunk_id, sum(n*n) AS z FROM ct GROUP BY chunk_id), qn AS (SELECT chunk_id, sum(n*n) AS z FROM qt GROUP BY chunk_id),
 dp AS (SELECT qt.chunk_id AS qid, ct.chunk_id AS cid, sum(qt.n*ct.n) AS dot FROM qt JOIN ct USING (b) GROUP BY ALL),
-rel AS (SELECT chunk_id AS qid FROM c WHERE eval_split='eval_test' AND query_text <> ''),
+rel AS (SELECT chunk_id AS qid FROM c WHERE eval_split='{split}' AND query_text <> ''),
 pairs AS (SELECT rel.qid, c.chunk_id AS cid, coalesce(round(dp.dot::DOUBLE / sqrt(qn.z::DOUBLE * cn.z::DOUBLE), 9), 0.0) AS score FROM rel CROSS JOIN c LEFT JOIN qn ON qn.chunk_id = rel.qid LEFT JOIN cn ON cn.chunk_id = c.chunk_id LEFT JOIN dp ON dp.qid = rel.qid AND dp.cid = c.chunk_id),
 hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, cid) - 1 AS rank FROM pairs) WHERE rank < 100),
 ranks AS (SELECT rel.qid, h.rank FROM rel LEFT JOIN hits h ON h.qid = rel.qid AND h.cid = rel.qid)
 """
 
 
+_METRICS = (
+    "SELECT count(*) AS n_queries, "
+    + ", ".join(f"round(avg(CASE WHEN rank < {k} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 9) AS recall_at_{k}" for k in (1, 5, 10, 100))
+    + ", round(avg(CASE WHEN rank < 10 THEN 1.0::DOUBLE/(rank+1) ELSE 0.0::DOUBLE END), 9) AS mrr_at_10, round(avg(CASE WHEN rank < 10 THEN 1.0::DOUBLE/log2(rank+2.0::DOUBLE) ELSE 0.0::DOUBLE END), 9) AS ndcg_at_10 FROM ranks"
+)
+_HITS = _hits_sql("eval_test")
+
+
 @query(_HITS + "SELECT qid, cid, CAST(rank AS INT) AS rank FROM hits WHERE rank < 10")
 def hashed_tf_topk(spark, d):
-    return evaluate.hits(chunks_of(spark, d), "test", 10, strip=False, make=_TF)[1].drop("score")
+    return evaluate.hits(chunks_of(spark, d), "test", 10, make=_TF)[1].drop("score")
 
 
 @query(_HITS + "SELECT qid, CAST(rank AS INT) AS rank FROM ranks")
 def retrieval_ranks(spark, d):
-    return evaluate.retrieval_ranks(chunks_of(spark, d), "test", 100, strip=False)
+    return evaluate.retrieval_ranks(chunks_of(spark, d), "test", 100)
 
 
-@query(
-    _HITS
-    + "SELECT count(*) AS n_queries, "
-    + ", ".join(f"round(avg(CASE WHEN rank < {k} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 9) AS recall_at_{k}" for k in (1, 5, 10, 100))
-    + ", round(avg(CASE WHEN rank < 10 THEN 1.0::DOUBLE/(rank+1) ELSE 0.0::DOUBLE END), 9) AS mrr_at_10, round(avg(CASE WHEN rank < 10 THEN 1.0::DOUBLE/log2(rank+2.0::DOUBLE) ELSE 0.0::DOUBLE END), 9) AS ndcg_at_10 FROM ranks"
-)
+@query(_HITS + _METRICS)
 def retrieval_metrics(spark, d):
-    return metrics.metrics(evaluate.retrieval_ranks(chunks_of(spark, d), "test", 100, strip=False), [1, 5, 10, 100])
+    return metrics.metrics(evaluate.retrieval_ranks(chunks_of(spark, d), "test", 100), [1, 5, 10, 100])
 
 
-@query()
+@query(_hits_sql("eval_valid") + _METRICS)
 def eval_report(spark, d):
-    return evaluate.report(chunks_of(spark, d), "test")
+    return evaluate.report(chunks_of(spark, d), "valid")
 
 
 # -- chunking, files, streams --------------------------------------------------------------------------------------
 
 
+@query(
+    f"""WITH t AS (SELECT doc_id, text, length(text) AS n, len(regexp_extract_all(text, '{_TOK}')) AS e, len(text) - len(replace(text, chr(10), '')) + 1 AS last FROM documents WHERE text <> ''),
+    w AS (SELECT doc_id, last, e, unnest(range(CAST(greatest(0, ceil((e-512)/480.0)) AS BIGINT) + 1)) AS win FROM t WHERE n//2 >= 8 AND NOT (greatest(1, n//2) <= 512 AND n//5 >= 8) AND e >= 8),
+    c AS (SELECT doc_id, 'whole_file' AS symbol_kind, last, greatest(8, n//3) AS n_tokens, false AS truncated FROM t WHERE n//2 >= 8 AND greatest(1, n//2) <= 512 AND n//5 >= 8
+    UNION ALL SELECT doc_id, CASE WHEN e <= 512 THEN 'whole_file' ELSE 'window' END, last, least(e, win*480+512) - win*480, e > 512 FROM w WHERE least(e, win*480+512) - win*480 >= 8)
+    SELECT 'doc-'||doc_id AS path, symbol_kind, CAST(1 AS INT) AS start_line, CAST(last AS INT) AS end_line, CAST(n_tokens AS INT) AS n_tokens, truncated, count(*) AS n FROM c GROUP BY ALL"""
+)
+def whole_file_chunks(spark, d):
+    """Files as spans of their own, cut into windows of tokens where they are too long."""
+    raw = table(spark, d, "documents").select(F.col("text").alias("content"), F.col("source").alias("repo_name"), F.concat(F.lit("doc-"), F.col("doc_id")).alias("path"), F.lower("code_language").alias("language"), F.lit("MIT").alias("license"))
+    rows = chunking.chunk_files(raw, ALLOW, "test", 512, 32, 8, unit="file")
+    return rows.groupBy("path", "symbol_kind", "start_line", "end_line", "n_tokens", "truncated").agg(F.count("*").alias("n"))
+
+
+@query("SELECT coalesce(text,'') AS content, coalesce(source,'') AS repo_name, 'doc-'||doc_id AS path, lower(code_language) AS language, 'MIT' AS license FROM documents WHERE lower(code_language) IN ('python', 'java', 'javascript', 'php', 'go', 'ruby')")
+def staged_corpus(spark, d):
+    """Raw rows under other names staged as files and read back."""
+    raw = table(spark, d, "documents").select(F.col("text"), F.col("source").alias("repository_name"), F.concat(F.lit("doc-"), F.col("doc_id")).alias("filename"), F.lower("code_language").alias("language"), F.array(F.lit("MIT"), F.lit("ISC")).alias("detected_licenses"))
+    folder = f"{shared_folder(spark, 'corpus')}/corpus"
+    files.stage_corpus(raw, folder, LANGUAGES)
+    return files.read_corpus(spark, folder).select(*files.CORPUS_COLUMNS)
+
+
+@query("SELECT 'corpus' AS name, count(*) AS n FROM documents UNION ALL SELECT 'qrels', count(*) FROM qrels UNION ALL SELECT 'queries', count(*) FROM heldout_items")
+def staged_eval_pack(spark, d):
+    """The tables of an evaluation pack copied; one that is missing is only reported."""
+    folder = shared_folder(spark, "pack")
+    failed = files.stage_eval_pack(spark, {"corpus": f"{d}/documents.parquet", "queries": f"{d}/heldout_items.parquet", "qrels": f"{d}/qrels.parquet", "pairs": f"{d}/missing.parquet"}, folder)
+    parts = [spark.read.parquet(f"{folder}/{n}").agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n") for n in ("corpus", "qrels", "queries") if n not in failed]
+    return files.union(*parts)
+
+
 @query()
 def symbol_chunks(spark, d):
     docs_ = table(spark, d, "documents")
@@ -445,21 +572,33 @@ def symbol_chunks(spark, d):
     return chunking.chunk_files(raw, ALLOW, "test", 512, 32, 8).select(*[c for c in CHUNK_COLUMNS if c != "corpus_snapshot"])
 
 
+def _stream_of(spark, d, name: str, schema) -> DataFrame:
+    """A table, one file or a folder of them, as a stream of files."""
+    folder = f"{d}/{name}.parquet"
+    return ingest.read_stream(spark, folder, schema) if glob(spark, f"{folder}/*.parquet") else ingest.read_stream(spark, d, schema, glob=f"{name}.parquet")
+
+
 @query("SELECT chunk_id, count(*) AS n FROM (SELECT DISTINCT chunk_id FROM chunks) GROUP BY chunk_id")
 def stream_resume(spark, d):
-    """Two runs over one folder: the second adds nothing, so each chunk is there once."""
-    rows = chunks_of(spark, d)
+    """Three runs over one folder: the second finds nothing new, the third the same ids in new files, so each is there once."""
+    rows = chunks_of(spark, d).select("chunk_id", "language")
     folder = shared_folder(spark, "stream")
-    stream = ingest.read_stream(spark, d, rows.schema, glob="chunks.parquet") if not glob(spark, f"{d}/chunks.parquet/*.parquet") else ingest.read_stream(spark, f"{d}/chunks.parquet", rows.schema)
-    for _ in range(2):
-        ingest.embed_stream(stream, lambda b: b.select("chunk_id"), f"{folder}/out", f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/out/batch=*").groupBy("chunk_id").agg(F.count("*").alias("n"))
+    rows.write.parquet(f"{folder}/in")
+    for k in range(3):
+        if k == 2:
+            rows.write.mode("append").parquet(f"{folder}/in")
+        ingest.embed_stream(ingest.read_stream(spark, f"{folder}/in", rows.schema), lambda b: b.select("chunk_id"), f"{folder}/out", f"{folder}/checkpoint")
+    return ingest.read_sink(spark, f"{folder}/out").groupBy("chunk_id").agg(F.count("*").alias("n"))
 
 
-@query("SELECT time_bucket(INTERVAL 1 HOUR, logged_at) AS hour, status, coalesce(language,'') AS language, count(*) AS messages FROM (SELECT DISTINCT shard_id, status, logged_at, language FROM shard_status WHERE shard_id IS NOT NULL) GROUP BY ALL")
+@query("SELECT time_bucket(INTERVAL 1 HOUR, logged_at) AS hour, status, language, count(*) AS messages FROM (SELECT DISTINCT shard_id, status, logged_at, coalesce(language,'') AS language FROM shard_status WHERE shard_id IS NOT NULL) GROUP BY ALL")
 def status_per_hour(spark, d):
-    rows = table(spark, d, "shard_status").where("shard_id is not null").select("shard_id", "status", "logged_at", "language").distinct()
-    return rows.groupBy(F.date_trunc("hour", "logged_at").cast("timestamp_ntz").alias("hour"), "status", text.blank_to(F.col("language")).alias("language")).agg(F.count("*").alias("messages"))
+    """The status messages as a stream, counted by window of the time logged."""
+    rows = table(spark, d, "shard_status")
+    counted = ingest.status_counts(_stream_of(spark, d, "shard_status", rows.schema))
+    folder = shared_folder(spark, "status")
+    ingest.complete(counted, f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/out").select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "status", "language", "messages")
 
 
 @query("SELECT count(*) AS n, round(sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE))), 3) AS total FROM embeddings")

@@ -19,7 +19,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
-    """Writes under another name first and renames, so a reader never sees half a file."""
+    """Writes under another name first and renames over the old file, so a reader never sees half a file or none."""
     fs, p = _at(spark, path)
     _, other = _at(spark, f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(other, True)
@@ -27,9 +27,27 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(bytearray(data))
     finally:
         out.close()
-    fs.delete(p, False)
-    if not fs.rename(other, p):
-        raise OSError(f"could not rename to {path}")
+    rename(spark, other.toString(), path)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a file or a folder, over what is there: in one step where the file system can."""
+    jvm = spark._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(b.toUri(), spark._jsc.hadoopConfiguration()) if b.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark._jsc.hadoopConfiguration())
+    fs, _ = _at(spark, target)
+    if fs.exists(b) and fs.getFileStatus(b).isDirectory():
+        fs.delete(b, True)  # a folder that is not empty can't be renamed over
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    fs.mkdirs(b.getParent())
+    context.rename(a, b, options)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or a folder; nothing happens where there is none."""
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
 
 
 def read_bytes(spark: SparkSession, path: str) -> bytes:
