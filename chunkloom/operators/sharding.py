@@ -126,9 +126,25 @@ def cap_per_group(df: DataFrame, group: str, n: int, order: list[str]) -> DataFr
 
 
 def sample(df: DataFrame, n: int, key: str, seed: int, hash_fn: str = "md5") -> DataFrame:
-    """n rows without replacement, the same ones however the rows are partitioned: the least hashes of (seed, key)."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))) if hash_fn == "md5" else F.xxhash64(F.lit(seed), key)
-    return df.withColumn("_h", digest).orderBy("_h", key).limit(n).drop("_h")
+    """n rows without replacement, the same ones however the rows are partitioned: the least hashes of (seed, key).
+
+    Rows are counted by the hash's first four digits (65,536 counts at most); all below the digits at which n is reached
+    are taken where they lie, and only the rows with just these digits are sorted.
+    """
+    salted = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    digest = F.md5(salted) if hash_fn == "md5" else F.lower(F.lpad(F.hex(F.xxhash64(F.lit(seed), key)), 16, "0"))
+    hashed = df.withColumn("_h", F.coalesce(digest, F.lit("")))
+    front = F.substring("_h", 1, 4)
+    before, cut = 0, None
+    for r in hashed.groupBy(front.alias("f")).agg(F.count("*").alias("n")).orderBy("f").collect():
+        if before + r.n >= n:
+            cut = r.f
+            break
+        before += r.n
+    if cut is None:
+        return df
+    rest = hashed.where(front == cut).orderBy("_h", key).limit(n - before)
+    return hashed.where(front < cut).unionByName(rest).drop("_h")
 
 
 def union_runs(runs: dict[str, DataFrame]) -> DataFrame:

@@ -64,6 +64,70 @@ def test_exact_topk_against_numpy(spark):
         search.score_block(x, x, "other")
 
 
+def test_exact_topk_in_blocks_reads_the_corpus_once(spark, monkeypatch):
+    """Many blocks of queries: the engine sees each corpus text once, and ties go to the smaller key whatever the blocks."""
+    monkeypatch.setattr(search, "BLOCK_NUMBERS", 12)
+    monkeypatch.setattr(search, "SCORES", 200)
+    rng = np.random.default_rng(4)
+    x = rng.integers(-1, 2, (300, 4)).astype(float)
+    keys = [f"{i:04d}" for i in rng.permutation(300)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    c = spark.createDataFrame([(k, v.tolist()) for k, v in zip(keys, x)], "cid string, embedding array<float>").repartition(3)
+    q = spark.createDataFrame([(f"q{i}", x[i].tolist()) for i in range(10)], "qid string, embedding array<float>").repartition(2)
+    got = {}
+    for r in search.exact_topk(q, c.mapInArrow(count, c.schema), 9).collect():
+        got.setdefault(r.qid, {})[r["rank"]] = r.cid
+    for i in range(10):
+        want = sorted(range(300), key=lambda j: (-(x[i] @ x[j]), keys[j]))[:9]
+        assert [got[f"q{i}"][k] for k in range(9)] == [keys[j] for j in want]
+    assert seen.value == 300
+
+
+def test_sample_is_the_least_hashes(spark):
+    df = spark.range(3000).repartition(5)
+    by_hand = [r.id for r in df.orderBy(F.md5(F.concat(F.lit("7:"), F.col("id").cast("string"))), "id").limit(700).collect()]
+    assert sorted(r.id for r in sharding.sample(df, 700, "id", 7).collect()) == sorted(by_hand)
+    assert sharding.sample(df, 9999, "id", 7).count() == 3000 and sharding.sample(df.limit(0), 5, "id", 7).count() == 0
+
+
+@pytest.mark.parametrize("metric", ["inner_product", "l2"])
+def test_index_trained_in_the_cluster_with_split_lists(spark, metric):
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(9, 8)), 80, axis=0) + 0.2 * rng.normal(size=(720, 8))
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "cid int, embedding array<float>").repartition(4)
+    ix = search.train_index(c, 6, train_sample=600, driver_numbers=8 * 50, list_rows=40)
+    assert ix.centroids.shape == (6, 8) and ix.splits.max() > 1
+    table = search.add_to_index(c, ix)
+    sizes = table.groupBy("list_id", "part").count().collect()
+    assert sum(r["count"] for r in sizes) == 720 and len(sizes) > 6
+    q = c.where("cid % 40 = 0").withColumnRenamed("cid", "qid")
+    exact = {(r.qid, r.cid) for r in search.exact_topk(q, c, 5, metric).collect()}
+    all_lists = {(r.qid, r.cid) for r in search.search_index(q, table, ix, 5, 6, metric=metric).collect()}
+    assert all_lists == exact
+    some = {(r.qid, r.cid) for r in search.search_index(q, table, ix, 5, 4, metric=metric).collect()}
+    assert len(some & exact) >= 0.9 * len(exact)
+    coded = search.train_index(c, 3, parts=4, codes=32, rotate=True)
+    near = {(r.qid, r.cid) for r in search.search_index(q, search.add_to_index(c, coded), coded, 5, 3, 8, metric=metric).collect()}
+    assert len(near & exact) >= 0.9 * len(exact)
+    with pytest.raises(ValueError):
+        search.search_index(q, table, ix, 5, metric="other")
+
+
+def test_vectors_are_attached_one_to_one(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "chunk_id string, n int")
+    v = spark.createDataFrame([("a", [1.0]), ("b", [2.0]), ("c", [3.0])], "chunk_id string, embedding array<float>")
+    assert {(r.chunk_id, r.n, r.embedding[0]) for r in embedding.attach_vectors(rows, v.where("chunk_id <> 'c'")).collect()} == {("a", 1, 1.0), ("b", 2, 2.0)}
+    for a, b in ((rows, v), (rows, v.where("chunk_id = 'a'")), (rows.unionByName(rows), v.where("chunk_id <> 'c'"))):
+        with pytest.raises(Exception, match="no vector or row"):
+            embedding.attach_vectors(a, b).collect()
+
+
 def test_index_recall(spark):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(12, 16))
