@@ -27,9 +27,10 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--config", action="append", default=[])
         return s
 
-    s = command("stage", "read raw files into the run")
+    s = command("stage", "read raw files, an evaluation pack and the model into the run")
     s.add_argument("--input", help="raw Parquet or JSON")
     s.add_argument("--languages", default="")
+    s.add_argument("--eval-source", action="append", default=[], metavar="NAME=PATH", help="a table of the evaluation pack")
     s.add_argument("--skip-model", action="store_true")
     s.add_argument("--skip-corpus", action="store_true")
     s = command("chunk", "cut files into chunks")
@@ -37,15 +38,15 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--input-glob")
     s.add_argument("--out")
     s = command("shard", "deduplicate, pair, split and shard")
-    s.add_argument("--language", help="ignored: shards are numbered over all languages at once")
+    s.add_argument("--language", help="only this language's chunks")
     s.add_argument("--target-chunks", type=int)
     s.add_argument("--no-pairs", action="store_true")
     s.add_argument("--eval-list")
     s = command("embed", "embed what is not embedded yet")
-    s.add_argument("--shard-id", type=int)
+    s.add_argument("--shard-id", type=int, help="only this shard")
     s.add_argument("--engine")
-    s.add_argument("--gpu-id", type=int, default=0)
-    s.add_argument("--base-port", type=int, default=8080)
+    s.add_argument("--gpu-id", type=int, help="the device that the tasks' engines see")
+    s.add_argument("--base-port", type=int, help="first port of the embedding services")
     s.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)
     s = command("index", "build the index")
     which = s.add_mutually_exclusive_group()
@@ -53,14 +54,14 @@ def parser() -> argparse.ArgumentParser:
     which.add_argument("--all", action="store_true")
     s.add_argument("--factory")
     s = command("merge-index", "one index over all shards")
-    s.add_argument("--mode", choices=("ondisk", "sharded"), default="ondisk")
+    s.add_argument("--mode", choices=("ondisk", "sharded"))
     s = command("publish", "write the published views")
-    s.add_argument("--repo-id")
+    s.add_argument("--repo-id", help="a path or URI that the folder is copied to")
     s.add_argument("--dry-run", action="store_true")
     s = command("eval", "score retrieval")
     s.add_argument("--split", choices=("test", "valid"), default="test")
     s.add_argument("--index", choices=("exact", "ann", "both"), default="exact")
-    s.add_argument("--base-port", type=int, default=8080)
+    s.add_argument("--base-port", type=int)
     return p
 
 
@@ -77,33 +78,37 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if a.command == "stage":
             if a.languages:
                 cfg.corpus.languages = a.languages.split(",")
-            if not a.skip_corpus:
-                if not a.input:
-                    log.error("stage needs --input")
-                    return 2
-                raw = spark.read.json(a.input) if a.input.endswith((".json", ".jsonl")) else spark.read.parquet(a.input)
-                pipeline.stage(spark, cfg, raw)
+            if not a.skip_corpus and not a.input:
+                log.error("stage needs --input or --skip-corpus")
+                return 2
+            raw = None if a.skip_corpus else spark.read.json(a.input) if a.input.endswith((".json", ".jsonl")) else spark.read.parquet(a.input)
+            sources = dict(x.split("=", 1) for x in a.eval_source)
+            pipeline.stage(spark, cfg, raw, sources, a.skip_corpus, a.skip_model or cfg.engine.name == "hashed_tf")
         elif a.command == "chunk":
             pipeline.chunk(spark, cfg, [a.language] if a.language else None, a.input_glob, a.out)
         elif a.command == "shard":
-            log.info("%d shards", pipeline.shard(spark, cfg, a.target_chunks, not a.no_pairs, a.eval_list).count())
+            log.info("%d shards", pipeline.shard(spark, cfg, a.target_chunks, not a.no_pairs, a.eval_list, languages=[a.language] if a.language else None).count())
         elif a.command == "embed":
             cfg.engine.name = a.engine or cfg.engine.name
-            log.info("%d rows embedded", pipeline.embed(spark, cfg, a.resume))
+            if a.gpu_id is not None:
+                os.environ["CUDA_VISIBLE_DEVICES"] = str(a.gpu_id)
+                spark.sparkContext.environment["CUDA_VISIBLE_DEVICES"] = str(a.gpu_id)
+            log.info("%d rows embedded", pipeline.embed(spark, cfg, a.resume, a.shard_id, a.base_port))
         elif a.command == "index":
-            log.info("index at %s", pipeline.index(spark, cfg, a.factory))
+            log.info("index at %s", pipeline.index(spark, cfg, a.factory, a.shard_id))
         elif a.command == "merge-index":
-            log.info("index at %s", pipeline.merge_index(spark, cfg, a.mode))
+            log.info("index at %s", pipeline.merge_index(spark, cfg, a.mode or cfg.index.merge))
         elif a.command == "publish":
             cfg.publish.repo_id = a.repo_id or cfg.publish.repo_id
-            log.info("%s", pipeline.publish(spark, cfg, dry_run=True))
-            if not a.dry_run:
-                log.warning("no upload function is configured; the folder %s is complete", cfg.publish_dir)
+            log.info("%s", pipeline.publish(spark, cfg, dry_run=a.dry_run))
         else:
-            print(json.dumps(pipeline.evaluate(spark, cfg, a.split, a.index)))
+            print(json.dumps(pipeline.evaluate(spark, cfg, a.split, a.index, a.base_port)))
     except MissingInput as e:
         log.error("no input: %s", e)
         return 2
+    except (KeyError, ValueError, FileNotFoundError) as e:
+        log.error("%s", e)
+        return 2
     return 0
 
 

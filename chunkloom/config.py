@@ -21,7 +21,7 @@ class Run:
 
 @dataclass
 class Paths:
-    scratch: str = "${CHUNKLOOM_SCRATCH:-/tmp/chunkloom}"
+    scratch: str = "${CHUNKLOOM_SCRATCH:-}"
     models: str = ""
     manifest_dir: str = ""
 
@@ -41,6 +41,7 @@ class Chunk:
     max_tokens: int = 2048
     overlap_tokens: int = 64
     min_tokens: int = 8
+    tokenizer: str = "regex"
 
 
 @dataclass
@@ -118,13 +119,19 @@ class Config:
     hf: Offline = field(default_factory=Offline)
 
     def under(self, *parts: str) -> str:
-        """A path below the run's own folder."""
-        return str(Path(self.paths.scratch, self.run.name, *parts))
+        """A path below the run's own folder; ValueError where no scratch folder is configured."""
+        if not self.paths.scratch:
+            raise ValueError("set paths.scratch or CHUNKLOOM_SCRATCH to a folder that all executors share")
+        return "/".join([self.paths.scratch.rstrip("/"), self.run.name, *parts]).rstrip("/")
 
     corpus_dir = property(lambda self: self.under("corpus"))
     chunks_dir = property(lambda self: self.under("chunks"))
     shards_dir = property(lambda self: self.under("shards"))
+    batches_dir = property(lambda self: self.under("vector-batches"))
     vectors_dir = property(lambda self: self.under("vectors"))
+    embedded_dir = property(lambda self: self.under("embedded"))
+    status_dir = property(lambda self: self.under("status"))
+    models_dir = property(lambda self: self.paths.models or self.under("models"))
     index_dir = property(lambda self: self.under("index"))
     eval_dir = property(lambda self: self.under("eval"))
     publish_dir = property(lambda self: self.under("publish"))
@@ -177,7 +184,7 @@ def validate(cfg: Config) -> Config:
     """Cross-field rules: an HTTP engine computes in half or single precision; the manifest lies with the run."""
     if cfg.engine.name == "tei" and cfg.model.dtype not in ("float16", "float32"):
         cfg.model.dtype = "float16"
-    cfg.paths.manifest_dir = cfg.under("manifests")
+    cfg.paths.manifest_dir = cfg.under("manifests") if cfg.paths.scratch else ""
     if cfg.chunk.unit not in ("symbol", "window", "file"):
         raise ValueError(f"chunk.unit {cfg.chunk.unit!r}")
     if cfg.index.metric not in ("inner_product", "l2", "euclidean"):

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chunkloom.operators.sharding import folder_name
 from chunkloom.schema import canonical
 
 
@@ -92,6 +93,7 @@ class HttpEmbedder(Embedder):
     def _post(self, first: int, texts: list[str]) -> list[list[float]]:
         """Tries the replicas in turn, waiting longer after each failure."""
         body = json.dumps({"inputs": [t if t.strip() else " " for t in texts], "normalize": False, "truncate": True}).encode()
+        # Attempts, and seconds to wait after each
         attempts = max(4, 2 * len(self.endpoints))
         for k in range(attempts):
             url = self.endpoints[(first + k) % len(self.endpoints)] + "/embed"
@@ -207,7 +209,7 @@ def attach_vectors(rows: DataFrame, vectors: DataFrame, key: str = "chunk_id", v
 
 def with_pointers(df: DataFrame, *, run: str, model_id: str, revision: str, dim: int, pooling: str, normalized: bool, dtype: str, inline: bool = False) -> DataFrame:
     """Sets the eight embedding columns on rows with shard_id and row_in_shard; the pointer names the published file."""
-    file = F.format_string("vectors/lang=%s/%s-part-%05d.npy", F.col("language"), F.lit(run), F.col("shard_id"))
+    file = F.format_string("vectors/lang=%s/%s-part-%05d.npy", folder_name(F.col("language")), F.lit(run), F.col("shard_id"))
     out = df.withColumns(
         {"vector_shard": file, "row_in_shard": F.col("row_in_shard").cast("int"), "model_id": F.lit(model_id), "model_revision": F.lit(revision), "embed_dim": F.lit(dim), "pooling": F.lit(pooling), "normalized": F.lit(normalized), "dtype": F.lit(dtype)}
     )

@@ -75,10 +75,15 @@ def assign_shards(df: DataFrame, target: int, languages: list[str], order: list[
     return sized.join(ids.select(F.col("language").alias("_language"), F.col("_slice").alias("_at"), "shard_id"), F.col("language").eqNullSafe(F.col("_language")) & (F.col("_slice") == F.col("_at"))).drop("_slice", "_at", "_language", "row_no")
 
 
+def folder_name(language: Column) -> Column:
+    """A language as part of a path; there is no folder of an empty name."""
+    return F.coalesce(F.nullif(language, F.lit("")), F.lit("__none__"))
+
+
 def manifest(assigned: DataFrame, root: str = "") -> DataFrame:
-    """One row per shard, in the manifest's schema."""
-    file = F.format_string("%sshards/lang=%s/shard-%05d.parquet", F.lit(root), F.col("language"), F.col("shard_id"))
-    npy = F.format_string("%svectors/lang=%s/shard-%05d.npy", F.lit(root), F.col("language"), F.col("shard_id"))
+    """One row per shard, in the manifest's schema.  A shard's Parquet "file" is a folder of that name."""
+    file = F.format_string("%sshards/lang=%s/shard-%05d.parquet", F.lit(root), folder_name(F.col("language")), F.col("shard_id"))
+    npy = F.format_string("%svectors/lang=%s/shard-%05d.npy", F.lit(root), folder_name(F.col("language")), F.col("shard_id"))
     counted = assigned.groupBy("shard_id", "language").agg(F.count("*").cast("int").alias("approx_chunks"))
     return counted.select("shard_id", "language", F.array(file).alias("input_files"), "approx_chunks", file.alias("out_parquet"), npy.alias("out_npy"), F.lit("pending").alias("status"))
 

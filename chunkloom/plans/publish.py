@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.config import Config
 from chunkloom.schema import INDEX_ONLY, describe
-from chunkloom.sources import fs
+from chunkloom.sources import fs, npy
 from chunkloom.sources.files import write_partitioned
 
 #: More files than this make a repository slow to list.
@@ -35,9 +36,9 @@ def qrels_view(chunks: DataFrame, strict: bool = False) -> DataFrame:
     return rows.select(F.col("chunk_id").alias("query_id"), F.col("chunk_id").alias("corpus_id"), F.lit(1).cast("int").alias("score"), F.col("eval_split").alias("split"))
 
 
-def vectors_view(embedded: DataFrame) -> DataFrame:
-    """Keys, pointers and vectors of embedded rows."""
-    return embedded.select("chunk_id", "language", "vector_shard", "row_in_shard", "embedding")
+def vectors_view(embedded: DataFrame, inline: bool = False) -> DataFrame:
+    """Keys and pointers of embedded rows, and the vectors where they are asked for beside the files."""
+    return embedded.select("chunk_id", "language", "vector_shard", "row_in_shard", *(["embedding"] if inline else []))
 
 
 def card(cfg: Config, counts: dict[str, int]) -> str:
@@ -53,11 +54,21 @@ def card(cfg: Config, counts: dict[str, int]) -> str:
 
 
 def assemble(cfg: Config, chunks: DataFrame, embedded: DataFrame | None, gate: bool = True) -> dict[str, int]:
-    """Writes the views of a run below publish/<view>/run=<name>, so several runs lie side by side, and the card."""
+    """Writes the views of a run below publish/<view>/run=<name>, so several runs lie side by side, and the card.
+
+    The vectors are written as the files that the pointers name; the index view holds the index tables and model.
+    """
+    spark = chunks.sparkSession
     views = {"corpus": corpus_view(chunks, gate), "queries": queries_view(chunks), "qrels": qrels_view(chunks).withColumn("language", F.lit("all"))}
     if embedded is not None:
-        views["vectors"] = vectors_view(embedded)
+        views["vectors"] = vectors_view(embedded, cfg.publish.emit_inline_embedding)
+        made = npy.write_files(embedded.select(F.col("vector_shard").alias("file"), F.col("row_in_shard").alias("row"), F.col("embedding").alias("vector")), cfg.publish_dir, cfg.model.vector_dtype)
+        files = {r.file: r.rows for r in made.collect()}  # a row for each shard
+        if sum(files.values()) != embedded.count():
+            raise RuntimeError("published vector files lack rows")
     counts = {}
+    if fs.exists(spark, cfg.index_dir):
+        counts["index_files"] = fs.copy(spark, cfg.index_dir, f"{cfg.publish_dir}/index/run={cfg.run.name}")
     for name, df in views.items():
         target = f"{cfg.publish_dir}/{name}/run={cfg.run.name}"
         write_partitioned(df, target, "language")
@@ -67,12 +78,18 @@ def assemble(cfg: Config, chunks: DataFrame, embedded: DataFrame | None, gate: b
 
 
 def publish(spark: SparkSession, cfg: Config, upload=None, dry_run: bool = True) -> dict[str, object]:
-    """Counts the files and hands the folder to `upload(folder, repo_id)`; a dry run stops before that."""
+    """Counts the files and hands the folder to `upload(folder, repo_id)`; a dry run stops before that.
+
+    Without an upload function a repo_id that is a path or URI is where the folder is copied to.
+    """
     files = fs.count_files(spark, cfg.publish_dir)
     done = False
     if not dry_run:
+        if upload is None and not re.match(r"[\w+.-]+:/|/", cfg.publish.repo_id):
+            raise ValueError("an upload needs a function, or a path or URI as repo_id")
         if upload is None:
-            raise ValueError("no upload function")
-        upload(cfg.publish_dir, cfg.publish.repo_id)
+            fs.copy(spark, cfg.publish_dir, cfg.publish.repo_id)
+        else:
+            upload(cfg.publish_dir, cfg.publish.repo_id)
         done = True
     return {"files": files, "many_files": files > MANY_FILES, "uploaded": done}

@@ -285,7 +285,7 @@ def shard_assign(spark, d):
     return _sharded(spark, d).select("chunk_id", "language", "shard_id", "row_in_shard")
 
 
-@query(_SHARDED + "SELECT CAST(shard_id AS INT) AS shard_id, language, CAST(count(*) AS INT) AS approx_chunks, printf('shards/lang=%s/shard-%05d.parquet', language, CAST(shard_id AS INT)) AS out_parquet, 'pending' AS status FROM s JOIN i USING (language, slice) GROUP BY shard_id, language")
+@query(_SHARDED + "SELECT CAST(shard_id AS INT) AS shard_id, language, CAST(count(*) AS INT) AS approx_chunks, printf('shards/lang=%s/shard-%05d.parquet', coalesce(nullif(language, ''), '__none__'), CAST(shard_id AS INT)) AS out_parquet, 'pending' AS status FROM s JOIN i USING (language, slice) GROUP BY shard_id, language")
 def shard_manifest(spark, d):
     return sharding.manifest(_sharded(spark, d)).select("shard_id", "language", "approx_chunks", "out_parquet", "status")
 
@@ -601,6 +601,23 @@ def status_per_hour(spark, d):
     return spark.read.parquet(f"{folder}/out").select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "status", "language", "messages")
 
 
+@query(f"""WITH o AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS r, embedding FROM embeddings)
+SELECT vec_id, printf('vectors/lang=x/run-v1-part-%05d.npy', CAST(r // 300 AS INT)) AS vector_shard, CAST(r % 300 AS INT) AS row_in_shard, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 5) AS total FROM o""")
+def vector_pointers(spark, d):
+    """Vectors in shards of 300, written as the files that their pointers name, and each read back by its pointer."""
+    npy.register(spark)
+    rows = table(spark, d, "embeddings").select(F.lit("x").alias("language"), "vec_id", "embedding")
+    placed = sharding.assign_shards(rows, 300, [], ["vec_id"])
+    told = placed.withColumn("vector_shard", F.format_string("vectors/lang=%s/run-v1-part-%05d.npy", sharding.folder_name(F.col("language")), F.col("shard_id")))
+    folder = shared_folder(spark, "pointers")
+    files_ = npy.write_files(told.select(F.col("vector_shard").alias("file"), F.col("row_in_shard").alias("row"), F.col("embedding").alias("vector")), folder)
+    if files_.agg(F.sum("rows")).first()[0] != rows.count():
+        raise ValueError("rows are missing")
+    back = spark.read.format("npy").option("path", folder).load().withColumn("vector_shard", F.regexp_extract("path", "(vectors/.*)$", 1))
+    total = F.round(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x.cast("double")), 5)
+    return told.select("vec_id", "vector_shard", "row_in_shard").join(back.select("vector_shard", F.col("row").alias("row_in_shard"), total.alias("total")), ["vector_shard", "row_in_shard"])
+
+
 @query("SELECT count(*) AS n, round(sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE))), 3) AS total FROM embeddings")
 def npy_roundtrip(spark, d):
     npy.register(spark)

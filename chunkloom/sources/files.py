@@ -124,13 +124,13 @@ def read_chunks(spark: SparkSession, root: str, languages: list[str] | None = No
     return canonical(df if languages is None else df.where(F.col("language").isin(languages)), CHUNK_COLUMNS)
 
 
-def write_partitioned(df: DataFrame, root: str, *by: str, rows_per_file: int = 0) -> None:
+def write_partitioned(df: DataFrame, root: str, *by: str, rows_per_file: int = 0, mode: str = "overwrite") -> None:
     """zstd Parquet partitioned by copies of columns (lang=...), so that the columns stay in the files too."""
     out = df
     for b in by:
         out = out.withColumn(f"_{b}" if b != "language" else "lang", F.col(b))
     names = ["lang" if b == "language" else f"_{b}" for b in by]
-    writer = out.write.mode("overwrite").option("compression", "zstd")
+    writer = out.write.mode(mode).option("compression", "zstd")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.partitionBy(*names).parquet(root)

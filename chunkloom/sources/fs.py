@@ -61,6 +61,20 @@ def read_bytes(spark: SparkSession, path: str) -> bytes:
         stream.close()
 
 
+def copy(spark: SparkSession, source: str, target: str) -> int:
+    """Copies a file or a folder, also to another file system; files that are there with the same length stay.  Their number."""
+    a, p = _at(spark, source)
+    b, q = _at(spark, target)
+    jvm, n = spark._jvm, 0
+    if a.getFileStatus(p).isFile():
+        if not b.exists(q) or b.getFileStatus(q).getLen() != a.getFileStatus(p).getLen():
+            jvm.org.apache.hadoop.fs.FileUtil.copy(a, p, b, q, False, True, spark._jsc.hadoopConfiguration())
+        return 1
+    for s in a.listStatus(p):
+        n += copy(spark, s.getPath().toString(), f"{target}/{s.getPath().getName()}")
+    return n
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """The paths that match, sorted; none where the folder is missing."""
     fs, p = _at(spark, pattern)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from chunkloom.sources import fs
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def read_stream(spark: SparkSession, root: str, schema, glob: str = "*.parquet", files_per_batch: int = 100) -> DataFrame:
     """Files that appear below a folder, in bounded micro-batches."""
@@ -55,7 +58,13 @@ def run_once(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out
 def embed_stream(stream: DataFrame, embed: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, resume: bool = True) -> int:
     """Embeds new chunk rows.  A chunk_id that repeats, in one micro-batch or in a later one, is embedded once: the ids seen
     are the stream's state, which the checkpoint keeps with each batch, so a repeated batch gives the same rows."""
-    return run_once(stream.where("chunk_id is not null").dropDuplicates(["chunk_id"]), embed, out, checkpoint, resume)
+    conf = stream.sparkSession.conf
+    before = conf.get(STATE_STORE, None)
+    conf.set(STATE_STORE, ROCKS_DB)  # the ids lie on disk, so their number is not bounded by memory
+    try:
+        return run_once(stream.where("chunk_id is not null").dropDuplicates(["chunk_id"]), embed, out, checkpoint, resume)
+    finally:
+        conf.unset(STATE_STORE) if before is None else conf.set(STATE_STORE, before)
 
 
 def complete(counted: DataFrame, out: str, checkpoint: str) -> None:

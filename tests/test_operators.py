@@ -1,3 +1,4 @@
+import copy
 import json
 
 import numpy as np
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 from chunkloom import config, schema
 from chunkloom.cli import main, parser
 from chunkloom.operators import embedding, metrics, search, sharding
-from chunkloom.operators.chunking import chunk_files
+from chunkloom.functions import tokenizers
+from chunkloom.operators.chunking import chunk_files, span_chunks
 from chunkloom.plans import evaluate, pipeline, publish
 from chunkloom.queries import QUERIES, _vector_sides
-from chunkloom.sources import files, npy
+from chunkloom.sources import files, fs, npy
 from chunkloom.streaming import ingest
 
 
@@ -278,7 +280,7 @@ def finished(spark, tmp_path_factory):
 
 def test_pipeline(spark, finished):
     cfg = finished
-    shards = spark.read.parquet(cfg.shards_dir)
+    shards = pipeline.read_shards(spark, cfg)
     assert shards.count() == 5 and {r.language for r in shards.collect()} == {"python", "java"}
     m = files.read_manifest(spark, cfg.manifest_path)
     assert m.agg(F.sum("approx_chunks")).first()[0] == 5 and [r.shard_id for r in m.orderBy("shard_id").collect()] == [0, 1, 2]
@@ -294,8 +296,160 @@ def test_pipeline(spark, finished):
         pipeline.merge_index(spark, cfg, "other")
 
 
+def test_pointers_lead_to_the_vectors(spark, finished, tmp_path):
+    cfg = finished
+    for r in files.read_manifest(spark, cfg.manifest_path).collect():  # the manifest names what is there
+        assert spark.read.parquet(r.out_parquet).count() == r.approx_chunks == npy.shape_of(r.out_npy)[0]
+    pipeline.publish(spark, cfg)
+    rows = pipeline.embedded(spark, cfg).collect()
+    for r in rows:
+        assert np.array_equal(np.load(f"{cfg.publish_dir}/{r.vector_shard}")[r.row_in_shard], np.array(r.embedding, np.float32))
+    view = spark.read.parquet(f"{cfg.publish_dir}/vectors/run={cfg.run.name}/*/*.parquet")
+    assert view.columns == ["chunk_id", "language", "vector_shard", "row_in_shard"] and view.count() == len(rows) == 5
+    cfg.publish.repo_id = str(tmp_path / "copy")
+    assert pipeline.publish(spark, cfg, dry_run=False)["uploaded"] and (tmp_path / "copy" / rows[0].vector_shard).exists()
+    cfg.publish.repo_id = "name/only"
+    with pytest.raises(ValueError):
+        pipeline.publish(spark, cfg, dry_run=False)
+
+
+def test_embedding_resumes_by_status(spark, finished, monkeypatch):
+    cfg = finished
+    log = pipeline.status_log(spark, cfg)
+    assert {r.status for r in sharding.latest_status(log).collect()} == {"done"}
+    assert sharding.pending_shards(files.read_manifest(spark, cfg.manifest_path), log).count() == 0
+    before = {r.chunk_id for r in pipeline.embedded(spark, cfg).collect()}
+    monkeypatch.setattr(pipeline, "embed_stream", None)  # nothing is left to do
+    assert pipeline.embed(spark, cfg) == 5
+    monkeypatch.undo()
+    assert pipeline.embed(spark, cfg, resume=False) == 5 and pipeline.embed(spark, cfg) == 5
+    assert {r.chunk_id for r in pipeline.embedded(spark, cfg).collect()} == before
+    with pytest.raises(ValueError):
+        pipeline.log_status(spark, cfg, files.read_manifest(spark, cfg.manifest_path), "lost")
+    with pytest.raises(ValueError):
+        pipeline.embed(spark, cfg, False, 1)
+
+
+def test_one_shard_then_the_rest(spark, finished, tmp_path):
+    cfg = copy.deepcopy(finished)
+    cfg.paths.scratch = str(tmp_path)
+    files.write_partitioned(files.read_chunks(spark, finished.chunks_dir), cfg.chunks_dir, "language")
+    pipeline.shard(spark, cfg)
+    assert pipeline.embed(spark, cfg, shard_id=1) == files.get_shard(files.read_manifest(spark, cfg.manifest_path), 1).first().approx_chunks
+    assert pipeline.index(spark, cfg, "Flat", 1) == cfg.batches_dir
+    with pytest.raises(ValueError):
+        pipeline.index(spark, cfg, "IVF2,Flat", 1)
+    assert pipeline.embed(spark, cfg) == 5
+    assert {r.shard_id: r.status for r in sharding.latest_status(pipeline.status_log(spark, cfg)).collect()} == {0: "done", 1: "done", 2: "done"}
+    only = pipeline.shard(spark, cfg, languages=["java"])
+    assert [r.language for r in only.collect()] == ["java"]
+    cfg.model.embed_dim = 63
+    with pytest.raises(ValueError):
+        pipeline.index(spark, cfg, "Flat")
+
+
+def test_run_is_evaluated_with_and_without_an_index(spark, finished, tmp_path):
+    cfg = copy.deepcopy(finished)
+    cfg.paths.scratch, cfg.corpus.languages = str(tmp_path), ["python", "java"]
+    rows = files.read_chunks(spark, finished.chunks_dir)
+    files.write_partitioned(rows, cfg.chunks_dir, "language")
+    (tmp_path / "repos.txt").write_text("o/alpha\no/beta\no/gamma\no/delta\n")
+    pipeline.shard(spark, cfg, eval_list=str(tmp_path / "repos.txt"))
+    pipeline.embed(spark, cfg)
+    flat = pipeline.evaluate(spark, cfg, "test", "both")
+    assert flat["n_queries"] > 0 and flat["metrics"]["ann"]["recall_at_10"] == 1.0 and flat["metrics"]["exact"]["n_queries"] == flat["n_queries"]
+    pipeline.index(spark, cfg, "IVF2,Flat")
+    for metric in ("inner_product", "l2"):
+        cfg.index.metric = metric
+        assert pipeline.evaluate(spark, cfg, "test", "ann")["metrics"]["ann"]["recall_at_10"] == 1.0
+    fs.write_bytes(spark, f"{cfg.index_dir}/model.npz", b"damaged")
+    assert pipeline.evaluate(spark, cfg, "test", "both")["metrics"]["ann"] is None
+    with pytest.raises(ValueError):
+        pipeline.evaluate(spark, cfg, "valid")
+
+
+def test_models_are_staged_from_folders(spark, tmp_path):
+    cfg = config.load(None, {"paths": {"scratch": str(tmp_path / "s")}, "model": {"id": str(tmp_path / "m")}})
+    with pytest.raises(FileNotFoundError):
+        pipeline.stage_model(spark, cfg)
+    (tmp_path / "m" / "sub").mkdir(parents=True)
+    (tmp_path / "m" / "sub" / "w.bin").write_bytes(b"123")
+    assert pipeline.staged_model(spark, cfg) == cfg.model.id
+    folder = pipeline.stage_model(spark, cfg)
+    assert pipeline.stage_model(spark, cfg) == folder == pipeline.staged_model(spark, cfg)
+    assert fs.read_bytes(spark, f"{folder}/sub/w.bin") == b"123"
+
+
+def test_files_are_renamed_over(spark, tmp_path):
+    p = str(tmp_path / "a" / "x.json")
+    fs.write_bytes(spark, p, b"1")
+    fs.write_bytes(spark, p, b"22")
+    assert fs.read_bytes(spark, p) == b"22" and fs.count_files(spark, str(tmp_path / "a")) in (1, 2)
+    assert not [x for x in fs.glob(spark, str(tmp_path / "a" / "*")) if ".tmp" in x]
+    assert fs.copy(spark, str(tmp_path / "a"), str(tmp_path / "b")) >= 1 and fs.read_bytes(spark, str(tmp_path / "b" / "x.json")) == b"22"
+    fs.delete(spark, str(tmp_path / "a"))
+    assert not fs.exists(spark, p)
+
+
+def test_no_scratch_folder_is_assumed(monkeypatch):
+    monkeypatch.delenv("CHUNKLOOM_SCRATCH", raising=False)
+    with pytest.raises(ValueError, match="scratch"):
+        config.load().under("chunks")
+
+
+def test_tokenizers_are_plug_ins(spark, tmp_path):
+    text = "alpha beta gamma delta " * 40
+    assert tokenizers.load("regex")("ab, c") == [(0, 2), (2, 3), (4, 5)]
+    tokenizers.register("letters", lambda: lambda t: [(i, i + 1) for i, c in enumerate(t) if c.isalpha()])
+    with pytest.raises(ValueError):
+        tokenizers.load("other")
+    df = spark.createDataFrame([(text, "r", "p", "", "MIT")], "content string, repo_name string, path string, language string, license string")
+    by_word = chunk_files(df, ["MIT"], limit=50, overlap=5, least=8).collect()
+    by_letter = span_chunks_of(text, tokenizers.load("letters"))
+    assert len(by_letter) > len(by_word) > 1 and all(len([c for c in t[6] if c.isalpha()]) <= 50 for t in by_letter)
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    model = Tokenizer(models.WordLevel({"alpha": 0, "[UNK]": 1}, unk_token="[UNK]"))
+    model.pre_tokenizer = pre_tokenizers.Whitespace()
+    model.save(str(tmp_path / "t.json"))
+    got = chunk_files(df, ["MIT"], limit=50, overlap=5, least=8, tokenizer=str(tmp_path / "t.json")).collect()
+    assert [r.n_tokens for r in got] == [r.n_tokens for r in by_word]
+
+
+def span_chunks_of(text, tokenizer):
+    return list(span_chunks(text, "whole_file", "", 1, 50, 5, 8, True, tokenizer))
+
+
+def test_stream_after_beginning_anew(spark, tmp_path):
+    """What follows a run that began anew goes on from that one, and ids that come again in later files add nothing."""
+    rows = spark.createDataFrame([("a",), ("b",)], "chunk_id string")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    args = (lambda b: b, str(tmp_path / "out"), str(tmp_path / "ck"))
+    stream = ingest.read_stream(spark, str(tmp_path / "in"), rows.schema)
+    assert ingest.embed_stream(stream, *args) == 2 and ingest.embed_stream(stream, *args, resume=False) == 2
+    for new, want in (("c", 3), ("a", 3), ("d", 4)):
+        spark.createDataFrame([(new,)], "chunk_id string").write.mode("append").parquet(str(tmp_path / "in"))
+        assert ingest.embed_stream(stream, *args) == want
+    assert sorted(r.chunk_id for r in ingest.read_sink(spark, str(tmp_path / "out")).collect()) == ["a", "b", "c", "d"]
+
+
+def test_vector_files_are_whole(spark, tmp_path):
+    x = np.arange(24, dtype=np.float32).reshape(8, 3)
+    rows = [("a/one.npy", i, x[i].tolist()) for i in range(5)] + [("b/two.npy", i, x[5 + i].tolist()) for i in range(3)]
+    df = spark.createDataFrame(rows, "file string, row int, vector array<float>").repartition(4)
+    assert {(r.file, r.rows) for r in npy.write_files(df, str(tmp_path / "v")).collect()} == {("a/one.npy", 5), ("b/two.npy", 3)}
+    assert np.array_equal(np.load(tmp_path / "v" / "a" / "one.npy"), x[:5]) and np.array_equal(np.load(tmp_path / "v" / "b" / "two.npy"), x[5:])
+    half = npy.write_files(df, str(tmp_path / "h"), "float16").count()
+    assert half == 2 and np.load(tmp_path / "h" / "b" / "two.npy").dtype == np.float16
+    for bad in (("a/one.npy", 5, [1.0]), ("a/one.npy", 7, [1.0, 2.0, 3.0]), ("a/one.npy", 5, None)):
+        with pytest.raises(Exception):
+            npy.write_files(df.unionByName(spark.createDataFrame([bad], df.schema)), str(tmp_path / "w")).count()
+    assert not (tmp_path / "w" / "a" / "one.npy").exists()
+    assert npy.write_files(df.limit(0), str(tmp_path / "e")).count() == 0
+
+
 def test_evaluate(spark, finished):
-    rows = spark.read.parquet(finished.shards_dir).withColumn("eval_split", F.lit("eval_test"))
+    rows = pipeline.read_shards(spark, finished).withColumn("eval_split", F.lit("eval_test"))
     got = evaluate.report(rows, "test", strip=False).first()
     assert got.n_queries == 4 and got.recall_at_10 == 1.0
     with pytest.raises(ValueError):
