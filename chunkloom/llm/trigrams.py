@@ -112,8 +112,9 @@ def trigrams(literal: str) -> list[int]:
 class Index:
     """What is needed to index blocks for a fixed set of patterns."""
 
-    def __init__(self, patterns: list[str]):
-        self.queries = [required(p) for p in patterns]
+    def __init__(self, patterns: list[str | tuple[str, ...]]):
+        """Of several patterns in a tuple a text must hold all."""
+        self.queries = [[c for x in ((p,) if isinstance(p, str) else p) for c in required(x)] for p in patterns]
         needed = sorted({t for q in self.queries for c in q for lit in c for t in trigrams(lit)})
         self.needed = np.array(needed, dtype=np.int64)
         self.number = {t: i for i, t in enumerate(needed)}
