@@ -8,8 +8,8 @@ characters) that stand in stuffed lines; code, logs, tables, dependency lists an
 their own marks and never count as stuffed.
 
 Limits are calibrated per language over all documents, against the medians of its lines of running text: stuffed
-lines must lack function words, listed ones must have more separators, repeated ones a more frequent top word
-or more repeated word pairs.
+lines must lack function words, listed ones must have more separators, repeated ones more words that occur
+again.
 """
 
 from __future__ import annotations
@@ -54,19 +54,19 @@ SENTENCE = re.compile(r"[.!?](?:\s|$)|[。！？]")
 #: A document is a case if this share of its words is stuffed and at least so many of them are.
 SHARE, LEAST_WORDS = 0.5, 12
 #: A line lacks function words under this part of its language's median share; listed and repeated lines have this many
-#: times the separators and the top word's (or repeated pairs') share of its running text.
+#: times the share of separators and of words that occur again of its running text.
 LACK, RISE = 0.8, 1.5
-#: Median shares (function words, separators of characters, top word) used for a language without running text in the corpus; the first
+#: Median shares (function words, separators of characters, words that occur again) used for a language without running text in the corpus; the first
 #: one also where its texts have no known function words.
-DEFAULT_MEDIAN, DEFAULT_SEPARATORS, DEFAULT_TOP = 0.3, 0.012, 0.08
+DEFAULT_MEDIAN, DEFAULT_SEPARATORS, DEFAULT_AGAIN = 0.3, 0.012, 0.08
 #: No language's limits are higher than these (shares of characters and of words).
-MOST_SEPARATORS, MOST_TOP = 0.1, 0.5
+MOST_SEPARATORS, MOST_AGAIN = 0.1, 0.5
 #: A line that occurs so often is a duplicate, a phrase of three words that does so is repeated.
 OFTEN = 4
 
 #: Kinds of stuffed lines; all but the links are made of words.
 KINDS = ["repeated", "listed", "linked", "opened", "duplicated", "phrased"]
-COUNTS = ["words", *KINDS, "prose_words", "prose_function", "prose_separators", "prose_characters", "prose_top", "stuffed_function", "listed_separators", "listed_characters", "repeated_top"]
+COUNTS = ["words", *KINDS, "prose_words", "prose_function", "prose_separators", "prose_characters", "prose_again", "stuffed_function", "listed_separators", "listed_characters", "repeated_again"]
 
 
 def function_words(ws: list[str]) -> int:
@@ -114,12 +114,6 @@ def line_kind(line: str, ws: list[str]) -> str:
     return "prose"
 
 
-def _top(ws: list[str]) -> int:
-    """Occurrences of the most frequent word that is no function word, or repeats of word pairs where they are more."""
-    top = Counter(w for w in ws if w not in _ALL).most_common(1)
-    return max(top[0][1] if top else 0, len(ws) - 1 - len(set(zip(ws, ws[1:]))))
-
-
 def _phrases(lines: list[list[str]]) -> frozenset[tuple[str, ...]]:
     """The phrases of three words that some lines repeat often; most texts have so many distinct words that none is sought."""
     n = sum(map(len, lines))
@@ -157,7 +151,7 @@ def measure(text: str | None) -> dict | None:
         if kind in ("listed", "repeated"):
             count["stuffed_function"] += function_words(ws)
             if kind == "repeated":
-                count["repeated_top"] += _top(ws)
+                count["repeated_again"] += len(ws) - len(set(ws))
             else:
                 count["listed_separators"] += len(SEPARATOR.findall(line))
                 count["listed_characters"] += len(line)
@@ -193,7 +187,7 @@ def measure(text: str | None) -> dict | None:
         if len(line) >= 20:
             count["prose_separators"] += len(SEPARATOR.findall(line))
             count["prose_characters"] += len(line)
-            count["prose_top"] += _top(ws)
+            count["prose_again"] += len(ws) - len(set(ws))
     return {"language": language_of(ws_all, text), "words": sum(count[k] for k in (*KINDS, "prose", "other")), **{k: count[k] for k in COUNTS[1:]}}
 
 
@@ -213,7 +207,7 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def calibration(measured: DataFrame) -> DataFrame:
-    """Per language the median shares of function words, separators and top words in running text, over all documents
+    """Per language the median shares of function words, separators and words that occur again in running text, over all documents
     that have some.
 
     A language whose median of function words is 0 has none: "other" is what texts without any known one are called.
@@ -223,7 +217,7 @@ def calibration(measured: DataFrame) -> DataFrame:
     def median(name: str, of: str, to: str = "prose_words"):
         return F.percentile_approx(F.col(of) / F.nullif(to, F.lit(0)), 0.5, 1000).alias(name)
 
-    return prose.groupBy("language").agg(median("median", "prose_function"), median("separators", "prose_separators", "prose_characters"), median("top", "prose_top")).where("median > 0")
+    return prose.groupBy("language").agg(median("median", "prose_function"), median("separators", "prose_separators", "prose_characters"), median("again", "prose_again")).where("median > 0")
 
 
 def stuffed(docs: DataFrame, share: float = SHARE, least_words: int = LEAST_WORDS, lack: float = LACK, rise: float = RISE) -> DataFrame:
@@ -236,7 +230,7 @@ def stuffed(docs: DataFrame, share: float = SHARE, least_words: int = LEAST_WORD
     measured = checkpointed(features(docs))
     told = measured.join(F.broadcast(calibration(measured)), "language", "left")
     listed = F.col("listed_separators") >= F.least(F.lit(MOST_SEPARATORS), rise * F.coalesce("separators", F.lit(DEFAULT_SEPARATORS))) * F.col("listed_characters")
-    repeated = F.col("repeated_top") >= F.least(F.lit(MOST_TOP), rise * F.coalesce("top", F.lit(DEFAULT_TOP))) * F.col("repeated")
+    repeated = F.col("repeated_again") >= F.least(F.lit(MOST_AGAIN), rise * F.coalesce("again", F.lit(DEFAULT_AGAIN))) * F.col("repeated")
     told = told.withColumns({"listed": F.when(listed, F.col("listed")).otherwise(0), "repeated": F.when(repeated, F.col("repeated")).otherwise(0)})
     in_lines = sum((F.col(k) for k in KINDS), F.lit(0))
     worded = in_lines - F.col("linked")

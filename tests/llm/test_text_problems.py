@@ -543,7 +543,7 @@ def test_stuffing_needs_more_than_the_languages_running_text(spark):
     rows = [(i, many * 6) for i in range(30)] + [(99, "; ".join(f"the-thing{i} gadget{i}x" for i in range(40)))]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     medians = stuffing.calibration(stuffing.features(df)).first()
-    assert 0.06 < medians.separators < 0.1 and 0 < medians.top < 0.9
+    assert 0.06 < medians.separators < 0.1 and 0 < medians.again < 0.9
     assert {r.doc_id for r in stuffing.stuffed(df, rise=0.4).collect()} == {99}
     assert stuffing.stuffed(df).count() == 0
 
