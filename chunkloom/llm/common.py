@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -14,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkloom.operators.partitions import spread  # noqa: F401  (for the operators)
+from chunkloom.operators.sharding import reliable as checkpointed  # noqa: F401
 
 #: A token: a run of ASCII letters, digits and underscores, or any other single character but ASCII white space.
 TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r\f\v]"
@@ -46,23 +44,6 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.
     return df.mapInArrow(run, schema)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that spark.checkpoint.dir names; tests without one get a temporary folder.
-
-    A machine-local folder is set only where the master is local, never on a cluster.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = os.path.join(tempfile.gettempdir(), f"chunkloom-{uuid.uuid4().hex}")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def blocks_folded(parts: DataFrame, fold: Callable[[list[bytes]], bytes], last: Callable[[bytes], bytes] = bytes) -> Iterator[tuple[int, bytes]]:
     """(block, data) of (block int, data binary) rows of many tasks, folded into one for each block, last applied to it.
 
@@ -90,10 +71,3 @@ def blocks_folded(parts: DataFrame, fold: Callable[[list[bytes]], bytes], last:
 def blank(c: Column) -> Column:
     """True for null and for white space only."""
     return F.coalesce(F.length(F.trim(F.regexp_replace(c, r"\s+", " "))) == 0, F.lit(True))
-
-
-def one_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per key, the least by the order columns: a partial aggregate, so a hot key is reduced before the shuffle."""
-    rest = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("r")
-    return df.groupBy(key).agg(first).select(key, *[F.col(f"r.`{c}`").alias(c) for c in rest])

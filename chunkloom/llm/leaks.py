@@ -275,17 +275,19 @@ def seed_table(items: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def bitmap(seeds: DataFrame, bits: int) -> np.ndarray:
-    """The bits of all seeds, one byte each eight; tasks pass on the blocks that they touch."""
+    """The bits of all seeds, eight to a byte; tasks pass on the blocks that they touch."""
 
     def run(batches):
-        out = np.zeros(bits, bool)
+        out = np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            out[(batch.column(0).to_numpy().view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)] = True
-        size = 8 * BLOCK_BYTES
-        for b in range(-(-bits // size)):
-            part = out[b * size : (b + 1) * size]
+            at = np.unique(batch.column(0).to_numpy().view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)
+            byte, bit = at >> 3, (128 >> (at & 7)).astype(np.uint8)
+            first = np.flatnonzero(np.concatenate(([True], byte[1:] != byte[:-1])))
+            out[byte[first]] |= np.bitwise_or.reduceat(bit, first)
+        for b in range(-(-len(out) // BLOCK_BYTES)):
+            part = out[b * BLOCK_BYTES : (b + 1) * BLOCK_BYTES]
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([np.packbits(part).tobytes()], pa.binary())], ["block", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "data"])
 
     def either(parts: list[bytes]) -> bytes:
         return np.bitwise_or.reduce([np.frombuffer(p, np.uint8) for p in parts]).tobytes()
