@@ -19,9 +19,9 @@ def reliable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if not folder:
-            if not sc.master.startswith("local"):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = os.path.join(tempfile.gettempdir(), f"chunkloom-{uuid.uuid4().hex}")
         sc.setCheckpointDir(folder)
