@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,56 @@ def blocks_folded(parts: DataFrame, fold: Callable[[list[bytes]], bytes], last:
         yield r.block, zlib.decompress(r.data)
 
 
+#: Bits of a bitmap of hashes: 16 for each within these bounds (128 MB at most), in blocks of so many bytes.
+LEAST_BITS, MAX_BITS, BLOCK_BYTES = 1 << 20, 1 << 30, 1 << 16
+
+
+def bitmap(hashes: DataFrame, count: int, max_bits: int = MAX_BITS) -> np.ndarray:
+    """The bits of all hashes of a bigint column, eight to a byte; a full bitmap lets more through, never less.
+
+    Tasks pass on the blocks that they touch.
+    """
+    bits = min(max_bits, max(LEAST_BITS, 1 << (16 * max(1, count) - 1).bit_length()))
+
+    def run(batches):
+        out = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            at = np.unique(batch.column(0).to_numpy().view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)
+            byte, bit = at >> 3, (128 >> (at & 7)).astype(np.uint8)
+            first = np.flatnonzero(np.concatenate(([True], byte[1:] != byte[:-1])))
+            out[byte[first]] |= np.bitwise_or.reduceat(bit, first)
+        for b in range(-(-len(out) // BLOCK_BYTES)):
+            part = out[b * BLOCK_BYTES : (b + 1) * BLOCK_BYTES]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "data"])
+
+    def either(parts: list[bytes]) -> bytes:
+        return np.bitwise_or.reduce([np.frombuffer(p, np.uint8) for p in parts]).tobytes()
+
+    out = np.zeros(bits // 8, np.uint8)
+    for block, data in blocks_folded(hashes.mapInArrow(run, "block int, data binary"), either):
+        out[block * BLOCK_BYTES : (block + 1) * BLOCK_BYTES] = np.frombuffer(data, np.uint8)
+    return out
+
+
+def in_bitmap(there: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes a bitmap may hold."""
+    at = (hashes & np.uint64(8 * len(there) - 1)).astype(np.int64)
+    return (there[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+
+
+def sifted(df: DataFrame, key: str, there: np.ndarray) -> DataFrame:
+    """The rows whose bigint key a bitmap may hold: what is not asked for stays out of the shuffle that follows."""
+    shared = df.sparkSession.sparkContext.broadcast(there)
+    at = df.columns.index(key)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(shared.value, batch.column(at).to_numpy().view(np.uint64))))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def blank(c: Column) -> Column:
     """True for null and for white space only."""
     return F.coalesce(F.length(F.trim(F.regexp_replace(c, r"\s+", " "))) == 0, F.lit(True))

@@ -23,13 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.common import WORD_RE, blocks_folded, checkpointed, spread
+from chunkloom.llm.common import MAX_BITS, WORD_RE, bitmap, checkpointed, in_bitmap, spread
 
 MIN_WORDS = 10
 #: Characters of items that may travel with the tasks (some 12 bytes of memory each).
 MAX_ITEM_CHARACTERS = 8_000_000
-#: Bits of the bitmap of seeds: 16 for each within these bounds, in blocks of so many bytes.
-LEAST_BITS, MAX_BITS, BLOCK_BYTES = 1 << 20, 1 << 30, 1 << 16
 #: Pairs of equal seeds of one document and item that are written down; beyond, matches are sought by their length.
 MAX_PAIRS = 50_000
 #: Word hashes that a worker remembers.
@@ -274,44 +272,17 @@ def seed_table(items: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return items.mapInArrow(run, "item_id bigint, h bigint")
 
 
-def bitmap(seeds: DataFrame, bits: int) -> np.ndarray:
-    """The bits of all seeds, eight to a byte; tasks pass on the blocks that they touch."""
-
-    def run(batches):
-        out = np.zeros(bits // 8, np.uint8)
-        for batch in batches:
-            at = np.unique(batch.column(0).to_numpy().view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)
-            byte, bit = at >> 3, (128 >> (at & 7)).astype(np.uint8)
-            first = np.flatnonzero(np.concatenate(([True], byte[1:] != byte[:-1])))
-            out[byte[first]] |= np.bitwise_or.reduceat(bit, first)
-        for b in range(-(-len(out) // BLOCK_BYTES)):
-            part = out[b * BLOCK_BYTES : (b + 1) * BLOCK_BYTES]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "data"])
-
-    def either(parts: list[bytes]) -> bytes:
-        return np.bitwise_or.reduce([np.frombuffer(p, np.uint8) for p in parts]).tobytes()
-
-    out = np.zeros(bits // 8, np.uint8)
-    for block, data in blocks_folded(seeds.select("h").mapInArrow(run, "block int, data binary"), either):
-        out[block * BLOCK_BYTES : (block + 1) * BLOCK_BYTES] = np.frombuffer(data, np.uint8)
-    return out
-
-
 def _with_large_items(docs: DataFrame, items: DataFrame, min_words: int, max_bits: int) -> DataFrame:
     seeds = checkpointed(seed_table(items, min_words))
-    bits = min(max_bits, max(LEAST_BITS, 1 << (16 * max(1, seeds.count()) - 1).bit_length()))
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(seeds, bits))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(seeds.select("h"), seeds.count(), max_bits))
 
     def sift(batches):
         there = shared.value
-        size = np.uint64(8 * len(there) - 1)
         for batch in batches:
             keep, hits = [], []
             for n, text in enumerate(batch.column(2).to_pylist()):
                 h = np.unique(rolling(word_hashes(text or ""), min_words))
-                at = (h & size).astype(np.int64)
-                got = h[(there[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0]
+                got = h[in_bitmap(there, h)]
                 if len(got):
                     keep.append(n)
                     hits.append(got.view(np.int64))
