@@ -107,7 +107,7 @@ def chunk_int64(spark, d):
     return chunks_of(spark, d).select("chunk_id", keys.int64_of_hex(F.md5("chunk_id")).alias("id64")).distinct()
 
 
-@query()
+@query("SELECT DISTINCT chunk_id, (('0x'||substr(chunk_id,1,16))::UBIGINT & 9223372036854775807::UBIGINT)::BIGINT AS id64 FROM chunks")
 def chunk_int64_any(spark, d):
     return chunks_of(spark, d).select("chunk_id", keys.chunk_int64(F.col("chunk_id")).alias("id64")).distinct()
 
